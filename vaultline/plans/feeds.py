@@ -142,3 +142,12 @@ def warehouses_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = M.warehouses_rows(spark, sf_dir)
     return snapshot_to_events(rows, model().source("warehouses"), offset=F.col("warehouse_code").cast("bigint"),
                               timestamp=_snapshot_ts())
+
+
+def status_history_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """user_status_history topic from ``events`` as JSON ('error' events are deletes)."""
+    rows = M.status_change_rows(spark, sf_dir).select(
+        "event_id", "ts", "is_delete", "user_external_id", "new_status", "change_reason", "changed_at")
+    return snapshot_to_events(rows, model().source("user_status_history"), offset=F.col("event_id"),
+                              timestamp=F.col("ts"), deleted=F.col("is_delete"),
+                              op=F.when(F.col("is_delete"), F.lit("d")).otherwise(F.lit("c")))

@@ -30,7 +30,7 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the query modules (each registers its queries on import)."""
-    from . import q_cohort, q_quality, q_vault  # noqa: F401
+    from . import q_cohort, q_quality, q_stream, q_vault  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -81,7 +81,8 @@ def snapshot_to_events(rows: DataFrame, src: SourceTable, *, offset: Column,
         F.lit(src.topic).alias("topic"),
         (partition if partition is not None else F.lit(0)).cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),
-        timestamp.cast("timestamp").alias("timestamp"),
+        # Kafka record timestamps are epoch milliseconds
+        F.timestamp_millis(F.unix_millis(timestamp.cast("timestamp"))).alias("timestamp"),
         event_value(src, rows, op=op, wrapped=wrapped, deleted=deleted).alias("value"),
     )
 
