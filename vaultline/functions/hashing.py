@@ -33,9 +33,14 @@ def link_hash(source_hk, target_hk) -> Column:
 
 
 def json_string_literal(c) -> Column:
-    """A string value as a JSON literal with Python's ASCII escaping."""
-    s = _c(c).cast("string")
-    s = F.regexp_replace(s, r'(["\\])', r'\\$1')
+    """A string value as a JSON literal with Python's ASCII escaping.
+
+    Plain printable ASCII without quote or backslash (the common case) is
+    tested with one ``rlike`` and passed through; only the rest goes through
+    the escape chain.
+    """
+    raw = _c(c).cast("string")
+    s = F.regexp_replace(raw, r'(["\\])', r'\\$1')
     # Named escapes; the rest of the control range falls to \u00XX below.
     s = F.regexp_replace(s, "\n", r"\\n")
     s = F.regexp_replace(s, "\r", r"\\r")
@@ -48,7 +53,8 @@ def json_string_literal(c) -> Column:
             F.lower(F.regexp_replace(F.hex(F.encode(x, "UTF-16BE")), "(.{4})", r"\\u$1")))),
         "")
     escaped = F.when(s.rlike("[^ -~]"), per_char).otherwise(s)
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+    plain = ~raw.rlike(r'[^ -~]|["\\]')
+    return F.concat(F.lit('"'), F.when(plain, raw).otherwise(escaped), F.lit('"'))
 
 
 def json_value(c, wire_kind: str) -> Column:
@@ -63,7 +69,7 @@ def json_value(c, wire_kind: str) -> Column:
     elif wire_kind == "int":
         text = col.cast("bigint").cast("string")
     elif wire_kind == "bool":
-        text = F.when(col, F.lit("true")).otherwise(F.lit("false"))
+        text = F.when(col, F.lit("true")).when(~col, F.lit("false"))
     else:
         raise ValueError(f"unsupported wire kind {wire_kind!r}")
     return F.coalesce(text, F.lit("null"))

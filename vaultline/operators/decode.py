@@ -52,8 +52,11 @@ def unwrap(parsed: Column) -> tuple[Column, Column]:
     return op, after
 
 
-def decode_topic(events: DataFrame, src: SourceTable) -> DataFrame:
-    """Decode the events of one topic against its wire schema (one pass, no shuffle)."""
+def decode_topic(events: DataFrame, src: SourceTable, keep_value: bool = False) -> DataFrame:
+    """Decode the events of one topic against its wire schema (one pass, no shuffle).
+
+    ``keep_value`` carries the raw JSON along (for the quarantine of rejects).
+    """
     ev = events.where(F.col("topic") == src.topic)
     parsed = F.from_json(F.col("value").cast("string"), envelope_schema(src),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
@@ -61,10 +64,11 @@ def decode_topic(events: DataFrame, src: SourceTable) -> DataFrame:
     op, after = unwrap(F.col("_p"))
     reject = (F.when(F.col("value").isNull(), F.lit("tombstone"))
                .when(F.col("_p").isNull() | F.col("_p._malformed").isNotNull(), F.lit("malformed_json")))
+    extra = [F.col("value")] if keep_value else []
     return ev.select(
         "topic", "partition", "offset",
         F.col("timestamp").cast("timestamp_ntz").alias("load_dt"),
-        op.alias("op"), after.alias("after"), reject.alias("reject"))
+        op.alias("op"), after.alias("after"), reject.alias("reject"), *extra)
 
 
 def rows_to_decoded(rows: DataFrame, src: SourceTable, *, offset: Column, load_dt: Column,
