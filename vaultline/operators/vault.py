@@ -112,12 +112,14 @@ def history_rows(decoded: DataFrame, src: SourceTable, target: TargetTable, batc
 def keyed_view(df: DataFrame, keys, order: str = ORDER, keep_order: bool = False) -> DataFrame:
     """Last write wins per key: the row with the greatest ``order`` per key.
 
-    ``groupBy(keys).agg(max_by(struct(row), order))``: partial aggregation on the
-    map side, so a hot key is pre-reduced before the shuffle.
+    ``groupBy(keys).agg(max(struct(order, row...)))``: struct comparison looks at
+    ``order`` first (the rest only breaks exact ties, deterministically).  It is a
+    partial-then-final aggregate, so a hot key is pre-reduced on the map side
+    before the shuffle.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys and c != order]
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest, F.col(order)), F.col(order)).alias("_w"))
+    agg = df.groupBy(*keys).agg(F.max(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_w"))
     cols = [F.col(k) for k in keys] + [F.col(f"_w.{c}").alias(c) for c in rest]
     if keep_order:
         cols.append(F.col(f"_w.{order}").alias(order))
