@@ -102,3 +102,23 @@ def hub_without_sat(hub: DataFrame, sat: DataFrame, hk_col: str) -> DataFrame:
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def over_length(df: DataFrame, target) -> DataFrame:
+    """Rows with a string longer than its VARCHAR limit: (column, rows, max_length) per column.
+
+    Values are kept as they are; this only reports them (the target's reaction
+    to over-long text is not specified).
+    """
+    from ..functions.coerce import VARCHAR_LIMIT, sql_type
+    limits = {a.name: VARCHAR_LIMIT[sql_type(a.declared)] for a in target.attrs
+              if sql_type(a.declared) in VARCHAR_LIMIT and a.name in df.columns}
+    if not limits:
+        return df.sparkSession.createDataFrame([], "column string, rows bigint, max_length int")
+    aggs = []
+    for name, lim in limits.items():
+        aggs += [F.count(F.when(F.length(name) > lim, 1)).alias(f"{name}__n"),
+                 F.max(F.length(name)).alias(f"{name}__max")]
+    wide = df.agg(*aggs)
+    stack = ", ".join(f"'{n}', `{n}__n`, `{n}__max`" for n in limits)
+    return wide.selectExpr(f"stack({len(limits)}, {stack}) AS (column, rows, max_length)")

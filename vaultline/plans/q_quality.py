@@ -207,3 +207,60 @@ def q_csv_roundtrip(spark, sf_dir):
     path = fresh_dir(spark, "csv") + "/users"
     M.users_rows(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
     return cdc.read_csv(spark, path, USERS_CSV_SCHEMA)
+
+
+@register("vault_orphan_check", """
+SELECT 'sat_user_status_history -> hub_users' AS relation, COUNT(*) AS orphan_keys,
+       COALESCE(SUM(n), 0)::BIGINT AS orphan_rows
+FROM (SELECT user_id, COUNT(*) n FROM events WHERE event_type <> 'error' GROUP BY 1) c
+WHERE NOT EXISTS (SELECT 1 FROM customer p WHERE p.c_custkey = c.user_id)
+UNION ALL
+SELECT 'lnk_orders_users -> hub_users', COUNT(*), COALESCE(SUM(n), 0)::BIGINT
+FROM (SELECT o_custkey, COUNT(*) n FROM orders GROUP BY 1) c
+WHERE NOT EXISTS (SELECT 1 FROM customer p WHERE p.c_custkey = c.o_custkey)
+UNION ALL
+SELECT 'lnk_order_items -> hub_products', COUNT(*), COALESCE(SUM(n), 0)::BIGINT
+FROM (SELECT l_partkey, COUNT(*) n FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) GROUP BY 1) c
+WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = c.l_partkey)
+UNION ALL
+SELECT 'lnk_shipments_warehouses -> hub_warehouses', COUNT(*), COALESCE(SUM(n), 0)::BIGINT
+FROM (SELECT l_suppkey, COUNT(*) n FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem)
+      GROUP BY 1) c
+WHERE NOT EXISTS (SELECT 1 FROM supplier p WHERE p.s_suppkey = c.l_suppkey)""")
+def q_vault_orphan_check(spark, sf_dir):
+    """Late-arriving parents: vault link and history rows whose hub row is absent
+    (the loader makes no stub hubs; each table loads on its own)."""
+    model = _m()
+    hub_users = V.hub_rows(_good(feeds.users_decoded(spark, sf_dir), "users"), model.source("users"))
+    hub_products = V.hub_rows(_good(feeds.products_decoded(spark, sf_dir), "products"), model.source("products"))
+    hub_wh = V.hub_rows(_good(feeds.warehouses_decoded(spark, sf_dir), "warehouses"), model.source("warehouses"))
+    hist = V.history_rows(_good(feeds.status_history_decoded(spark, sf_dir), "user_status_history"),
+                          model.source("user_status_history"), model.target("sat_user_status_history"))
+    lnk_ou = V.keyed_view(V.link_rows(_good(feeds.orders_decoded(spark, sf_dir), "orders"), model.source("orders"),
+                                      model.target("lnk_orders_users")), "hk_lnk_orders_users")
+    lnk_oi = V.keyed_view(V.link_rows(_good(feeds.order_items_decoded(spark, sf_dir), "order_items"),
+                                      model.source("order_items"), model.target("lnk_order_items")),
+                          "hk_lnk_order_items")
+    lnk_sw = V.keyed_view(V.link_rows(_good(feeds.shipments_decoded(spark, sf_dir), "shipments"),
+                                      model.source("shipments"), model.target("lnk_shipments_warehouses")),
+                          "hk_lnk_shipments_warehouses")
+    return Q.union_all([
+        Q.orphan_summary("sat_user_status_history -> hub_users", hist, hub_users, "hk_users"),
+        Q.orphan_summary("lnk_orders_users -> hub_users", lnk_ou, hub_users, "hk_users"),
+        Q.orphan_summary("lnk_order_items -> hub_products", lnk_oi, hub_products, "hk_products"),
+        Q.orphan_summary("lnk_shipments_warehouses -> hub_warehouses", lnk_sw, hub_wh, "hk_warehouses"),
+    ])
+
+
+@register("length_check", """
+SELECT 'first_name' AS "column", COUNT(*) FILTER (WHERE length(c_name) > 500) AS rows,
+       MAX(length(c_name))::INTEGER AS max_length FROM customer
+UNION ALL
+SELECT 'status', COUNT(*) FILTER (WHERE length(c_mktsegment) > 500), MAX(length(c_mktsegment))::INTEGER
+FROM customer""")
+def q_length_check(spark, sf_dir):
+    """Over-long strings against their VARCHAR limits (kept, only reported)."""
+    model = _m()
+    src, t = model.source("users"), model.target("sat_users")
+    sat = V.sat_rows(_good(feeds.users_decoded(spark, sf_dir), "users"), src, t)
+    return Q.over_length(sat.select("first_name", "status"), t)
