@@ -201,7 +201,9 @@ USERS_CSV_SCHEMA = T.StructType([
 ])
 
 
-@register("csv_roundtrip")
+@register("csv_roundtrip", """
+SELECT CAST(c_custkey AS VARCHAR) AS user_external_id, c_name AS first_name, c_mktsegment AS status
+FROM customer""")
 def q_csv_roundtrip(spark, sf_dir):
     """Users written as a header CSV to the shared folder and read back with a fixed schema."""
     path = fresh_dir(spark, "csv") + "/users"
