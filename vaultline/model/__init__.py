@@ -202,7 +202,8 @@ class VaultModel:
             key = hk(src.name)
             out.append(TargetTable(
                 f"hub_{src.name}", "hub", src.name,
-                ((key, "string", False), (src.business_key.name, "string", False)) + _META,
+                ((key, "string", False), (src.business_key.name, "string", False)) + _META
+                + (("first_load_dt", "timestamp_ntz", True),),
                 (key,), key))
             for r in src.references:
                 lnk = f"lnk_{src.name}_{r.target}"

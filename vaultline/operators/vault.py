@@ -22,6 +22,7 @@ from ..model import SourceTable, TargetTable, VaultModel, hk
 from .decode import present
 
 ORDER = "_order"
+FIRST_SEEN = "first_load_dt"
 
 
 def _order(batch_id) -> Column:
@@ -63,7 +64,8 @@ def _hash_diff(attrs) -> Column:
 def hub_rows(decoded: DataFrame, src: SourceTable, batch_id=0) -> DataFrame:
     bk = _after(src.business_key.name)
     return decoded.where(bk.isNotNull()).select(
-        hub_hash(bk).alias(hk(src.name)), bk.cast("string").alias(src.business_key.name), *_meta(batch_id))
+        hub_hash(bk).alias(hk(src.name)), bk.cast("string").alias(src.business_key.name), *_meta(batch_id),
+        F.col("load_dt").alias(FIRST_SEEN))
 
 
 def link_rows(decoded: DataFrame, src: SourceTable, target: TargetTable, batch_id=0) -> DataFrame:
@@ -115,12 +117,19 @@ def keyed_view(df: DataFrame, keys, order: str = ORDER, keep_order: bool = False
     ``groupBy(keys).agg(max(struct(order, row...)))``: struct comparison looks at
     ``order`` first (the rest only breaks exact ties, deterministically).  It is a
     partial-then-final aggregate, so a hot key is pre-reduced on the map side
-    before the shuffle.
+    before the shuffle.  A ``first_load_dt`` column (hubs) is not overwritten but
+    kept as the minimum over all loads of the key.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys and c != order]
-    agg = df.groupBy(*keys).agg(F.max(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_w"))
+    rest = [c for c in df.columns if c not in keys and c not in (order, FIRST_SEEN)]
+    aggs = [F.max(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_w")]
+    first = FIRST_SEEN in df.columns
+    if first:
+        aggs.append(F.min(FIRST_SEEN).alias(FIRST_SEEN))
+    agg = df.groupBy(*keys).agg(*aggs)
     cols = [F.col(k) for k in keys] + [F.col(f"_w.{c}").alias(c) for c in rest]
+    if first:
+        cols.append(F.col(FIRST_SEEN))
     if keep_order:
         cols.append(F.col(f"_w.{order}").alias(order))
     return agg.select(*cols)

@@ -72,7 +72,8 @@ def q_cdc_stream_ingest(spark, sf_dir):
 
 _HUB_FROM_EVENTS = """
 SELECT md5(CAST(user_id AS VARCHAR)) AS hk_users, CAST(user_id AS VARCHAR) AS user_external_id,
-       MAX(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS load_dt, 'user_service.public.users' AS record_source
+       MAX(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS load_dt, 'user_service.public.users' AS record_source,
+       MIN(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS first_load_dt
 FROM events WHERE event_type <> 'error' GROUP BY user_id"""
 
 
@@ -91,7 +92,7 @@ def q_stream_resume(spark, sf_dir):
 @register("late_arrival_wins", f"""
 SELECT md5(CAST(user_id AS VARCHAR)) AS hk_users, CAST(user_id AS VARCHAR) AS user_external_id,
        COALESCE(MAX({TS_MS}) FILTER (WHERE ts < TIMESTAMP '{SPLIT_AT}'), MAX({TS_MS})) AS load_dt,
-       'user_service.public.users' AS record_source
+       'user_service.public.users' AS record_source, MIN({TS_MS}) AS first_load_dt
 FROM events WHERE event_type <> 'error' GROUP BY user_id""")
 def q_late_arrival_wins(spark, sf_dir):
     """Newer changes delivered first, older ones late: the last arrival wins (no watermark)."""

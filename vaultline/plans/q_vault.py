@@ -201,11 +201,11 @@ def q_drop_technical(spark, sf_dir):
 
 @register("hub_upsert", f"""
 SELECT {_HK_U_EVENTS} AS hk_users, CAST(user_id AS VARCHAR) AS user_external_id,
-       MAX(ts) AS load_dt, {U} AS record_source
+       MAX(ts) AS load_dt, {U} AS record_source, MIN(ts) AS first_load_dt
 FROM events WHERE event_type <> 'error' GROUP BY user_id""")
 def q_hub_upsert(spark, sf_dir):
     """Hub on the users topic fed by every status change: the last load wins,
-    load_dt included (deletes leave the hub as it is)."""
+    load_dt included (deletes leave the hub as it is); first_load_dt keeps the first."""
     src = _m().source("users")
     good = _good(feeds.user_changes_decoded(spark, sf_dir), "users")
     return V.keyed_view(V.hub_rows(good, src), "hk_users")
@@ -426,11 +426,12 @@ def q_conform_schema(spark, sf_dir):
 @register("insert_absent", f"""
 WITH target AS (
   SELECT {_HK_U_EVENTS} AS hk_users, CAST(user_id AS VARCHAR) AS user_external_id,
-         MAX(ts) AS load_dt, {U} AS record_source
+         MAX(ts) AS load_dt, {U} AS record_source, MIN(ts) AS first_load_dt
   FROM events WHERE event_type <> 'error' GROUP BY user_id),
 incoming AS (
   SELECT md5(CAST(c_custkey AS VARCHAR)) AS hk_users, CAST(c_custkey AS VARCHAR) AS user_external_id,
-         TIMESTAMP '2024-02-01 00:00:00' AS load_dt, {U} AS record_source FROM customer)
+         TIMESTAMP '2024-02-01 00:00:00' AS load_dt, {U} AS record_source,
+         TIMESTAMP '2024-02-01 00:00:00' AS first_load_dt FROM customer)
 SELECT * FROM target
 UNION ALL
 SELECT * FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.hk_users = i.hk_users)""")
