@@ -86,6 +86,7 @@ def test_quarantine_written(spark, model):
     store = VaultStore(spark, f"{root}/vault", model)
     m = load_batch(df, 0, model, store)
     assert m["hub_users"] == 1 and m["_quarantine"] == 2
+    assert m["events:users"] == 3 and m["rejected:users"] == 2 and m["deleted:users"] == 0
     q = {r["offset"]: r["reject"] for r in store.read("_quarantine").collect()}
     assert q == {2: "malformed_json", 3: "missing_business_key"}
 
@@ -109,3 +110,18 @@ def test_compacted_lookup_prunes_buckets(spark, model):
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     assert "SelectedBucketsCount: 1 out of 4" in plan, plan
     assert [r["user_external_id"] for r in hit.collect()] == ["42"]
+
+
+def test_skip_counters(spark, model):
+    root = fresh_dir(spark, "t-skips")
+    t = "user_service.public.user_addresses"
+    vals = ['{"after": {"address_external_id": "a1", "user_external_id": "u1"}}',
+            '{"after": {"address_external_id": "a2", "user_external_id": ""}}',
+            '{"after": {"address_external_id": "a3"}}',
+            '{"op": "d", "after": null}']
+    rows = [(t, 0, i, "2024-01-01 00:00:00", v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset bigint, ts string, value string") \
+        .select("topic", "partition", "offset", F.to_timestamp("ts").alias("timestamp"), "value")
+    m = load_batch(df, 0, model, VaultStore(spark, f"{root}/vault", model))
+    assert m["lnk_user_addresses_users"] == 1 and m["skipped:lnk_user_addresses_users"] == 2
+    assert m["deleted:user_addresses"] == 1 and m["hub_user_addresses"] == 3
