@@ -125,3 +125,21 @@ def test_skip_counters(spark, model):
     m = load_batch(df, 0, model, VaultStore(spark, f"{root}/vault", model))
     assert m["lnk_user_addresses_users"] == 1 and m["skipped:lnk_user_addresses_users"] == 2
     assert m["deleted:user_addresses"] == 1 and m["hub_user_addresses"] == 3
+
+
+def test_periodic_compaction_equals_plain_reads(spark, model):
+    """Three file deliveries, one per micro-batch, compacting every second batch."""
+    ev = _events(spark)
+    ts = F.col("timestamp").cast("timestamp_ntz")
+    cut1, cut2 = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    parts = [ev.where(ts < cut1), ev.where((ts >= cut1) & (ts < cut2)), ev.where(ts >= cut2)]
+    plain_root, comp_root = fresh_dir(spark, "t-plain"), fresh_dir(spark, "t-comp")
+    plain = VaultStore(spark, f"{plain_root}/vault", model)
+    comp = VaultStore(spark, f"{comp_root}/vault", model)
+    for p in parts:
+        p.write.mode("append").json(f"{plain_root}/events")
+        run_available(spark, model, plain, f"{plain_root}/ckpt", f"{plain_root}/events")
+        p.write.mode("append").json(f"{comp_root}/events")
+        run_available(spark, model, comp, f"{comp_root}/ckpt", f"{comp_root}/events", compact_every=2)
+    assert comp.current_compaction("hub_users")[1] == 1
+    assert _snapshot(comp) == _snapshot(plain)
