@@ -117,3 +117,20 @@ def test_one_pass_equals_reference_on_driver_tables(spark):
     from vaultline.plans.marketplace import cohort_orders
     orders = cohort_orders(spark, SF_SMALL)
     assert as_dict(C.cohort_one_pass(orders)) == as_dict(C.cohort_analysis(orders))
+
+
+def test_hot_user_owning_a_third_of_orders(spark):
+    """Skew: one user owns a third of all orders; both plans still equal the model."""
+    from pyspark.sql import functions as F
+    from tests.conftest import SF_SMALL
+    from vaultline.plans.marketplace import table
+    o = table(spark, SF_SMALL, "orders")
+    hot = o.select(
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_custkey")).alias("user_external_id"),
+        F.col("o_orderdate").alias("order_date"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("total_amount"))
+    rows = [(r[0], r[1], r[2]) for r in hot.collect()]
+    assert sum(1 for r in rows if r[0] == -1) * 3 >= len(rows) - 3
+    want = model_report(rows)
+    assert as_dict(C.cohort_one_pass(hot)) == want
+    assert as_dict(C.cohort_analysis(hot)) == want

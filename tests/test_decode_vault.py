@@ -158,3 +158,26 @@ def test_quality_ops(spark):
     inc = spark.createDataFrame([("h1", "new"), ("h2", "x"), ("h2", "x")], "hk string, v string")
     res = sorted(tuple(r) for r in Q.insert_absent(inc, target, ["hk"]).collect())
     assert res == [("h1", "old"), ("h2", "x")]
+
+
+def test_hot_key_upsert(spark, model):
+    """One user receives a third of all change events: last write still wins exactly."""
+    from tests.conftest import SF_SMALL
+    from vaultline.operators.decode import rows_to_decoded
+    from vaultline.plans import marketplace as M
+    rows = M.status_change_rows(spark, SF_SMALL).withColumnRenamed("new_status", "status")
+    rows = rows.withColumn("user_external_id",
+                           F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("user_external_id")))
+    src = model.source("users")
+    dec = rows_to_decoded(rows, src, offset=F.col("event_id"), load_dt=F.col("ts"), deleted=F.col("is_delete"))
+    good = D.skip_deletes(dec, src)
+    hub = {r["user_external_id"]: r for r in V.keyed_view(V.hub_rows(good, src), "hk_users").collect()}
+    live = [r for r in rows.collect() if not r["is_delete"]]
+    want = {}
+    for r in live:
+        k = r["user_external_id"]
+        want[k] = (max(want[k][0], r["ts"]), min(want[k][1], r["ts"])) if k in want else (r["ts"], r["ts"])
+    assert {k: (v["load_dt"], v["first_load_dt"]) for k, v in hub.items()} == want
+    sat = V.keyed_view(V.sat_rows(good, src, model.target("sat_users")), ["hk_users", "hash_diff"])
+    assert sat.where(F.col("hk_users") == md5("hot")).count() == len({r["status"] for r in live
+                                                                     if r["user_external_id"] == "hot"})
