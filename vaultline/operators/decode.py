@@ -8,9 +8,10 @@ A raw change event has the Kafka record shape
     topic, partition, offset, load_dt, op, after (struct, wire types), reject
 
 ``reject`` is NULL for a good event, else a reason (``malformed_json``,
-``tombstone``, ``missing_business_key``, ``bad_value``).  Only ``after`` is
-read; ``before`` is never used.  Deletes (``after`` NULL or ``{}``) are
-dropped by ``skip_deletes``.
+``missing_business_key``, ``bad_value``).  Only ``after`` is read; ``before``
+is never used.  Deletes (``after`` NULL or ``{}``) and tombstones (a NULL
+value, the log-compaction marker after a delete) are dropped by
+``skip_deletes`` and counted as deletes.
 """
 
 from __future__ import annotations
@@ -62,8 +63,8 @@ def decode_topic(events: DataFrame, src: SourceTable, keep_value: bool = False)
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
     ev = ev.withColumn("_p", parsed)
     op, after = unwrap(F.col("_p"))
-    reject = (F.when(F.col("value").isNull(), F.lit("tombstone"))
-               .when(F.col("_p").isNull() | F.col("_p._malformed").isNotNull(), F.lit("malformed_json")))
+    reject = F.when(F.col("value").isNotNull() & (F.col("_p").isNull() | F.col("_p._malformed").isNotNull()),
+                    F.lit("malformed_json"))
     extra = [F.col("value")] if keep_value else []
     return ev.select(
         "topic", "partition", "offset",
@@ -131,7 +132,7 @@ def bad_values(src: SourceTable, attrs) -> Column:
 def classify(decoded: DataFrame, src: SourceTable, attrs=()) -> DataFrame:
     """Fill ``reject`` for events that cannot be loaded at all.
 
-    Malformed JSON and tombstones are already marked by the decoder.  A hub
+    Malformed JSON is already marked by the decoder.  A hub
     table's event without its business key, and a value its declared type
     cannot hold, are rejected here.  Deletes are not rejects.
     """
