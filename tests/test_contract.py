@@ -36,3 +36,14 @@ def test_query_matches_oracle(spark, con, name):
     c2, r2 = rows_of(con.sql(ORACLES[name]).df())
     assert c1 == c2
     assert r1 == r2
+
+
+@pytest.mark.parametrize("name", ["cohort_one_pass", "hub_upsert", "history_append", "coerce_typed",
+                                  "envelope_unwrap", "late_arrival_wins"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        pdf = QUERIES[name](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows_of(pdf) == rows_of(con.sql(ORACLES[name]).df())

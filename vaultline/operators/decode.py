@@ -45,6 +45,12 @@ def envelope_schema(src: SourceTable) -> T.StructType:
     ])
 
 
+def record_time_utc(ts: Column) -> Column:
+    """A record timestamp (an instant) as its UTC wall time, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts),
+                           F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
 def unwrap(parsed: Column) -> tuple[Column, Column]:
     """(op, after) of a parsed envelope: ``payload`` if present, else the message."""
     wrapped = parsed["payload"].isNotNull()
@@ -68,7 +74,7 @@ def decode_topic(events: DataFrame, src: SourceTable, keep_value: bool = False)
     extra = [F.col("value")] if keep_value else []
     return ev.select(
         "topic", "partition", "offset",
-        F.col("timestamp").cast("timestamp_ntz").alias("load_dt"),
+        record_time_utc(F.col("timestamp")).alias("load_dt"),
         op.alias("op"), after.alias("after"), reject.alias("reject"), *extra)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators.decode import record_time_utc
 from ..session import fresh_dir
 from ..sinks.store import VaultStore
 from ..sources.cdc import read_cdc_batch
@@ -31,11 +32,11 @@ def _deliver(events: DataFrame, folder: str) -> None:
 
 
 def _before(ev: DataFrame) -> DataFrame:
-    return ev.where(F.col("timestamp").cast("timestamp_ntz") < F.lit(SPLIT_AT).cast("timestamp_ntz"))
+    return ev.where(record_time_utc(F.col("timestamp")) < F.lit(SPLIT_AT).cast("timestamp_ntz"))
 
 
 def _after(ev: DataFrame) -> DataFrame:
-    return ev.where(F.col("timestamp").cast("timestamp_ntz") >= F.lit(SPLIT_AT).cast("timestamp_ntz"))
+    return ev.where(record_time_utc(F.col("timestamp")) >= F.lit(SPLIT_AT).cast("timestamp_ntz"))
 
 
 _SAT_USERS_BOTH = """

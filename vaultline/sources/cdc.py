@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import epoch_millis
 from ..model import SourceTable, VaultModel
 from ..operators.decode import EVENT_SCHEMA
 
@@ -81,8 +82,8 @@ def snapshot_to_events(rows: DataFrame, src: SourceTable, *, offset: Column,
         F.lit(src.topic).alias("topic"),
         (partition if partition is not None else F.lit(0)).cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),
-        # Kafka record timestamps are epoch milliseconds
-        F.timestamp_millis(F.unix_millis(timestamp.cast("timestamp"))).alias("timestamp"),
+        # Kafka record timestamps are epoch milliseconds; ``timestamp`` is a UTC wall time
+        F.timestamp_millis(epoch_millis(timestamp)).alias("timestamp"),
         event_value(src, rows, op=op, wrapped=wrapped, deleted=deleted).alias("value"),
     )
 
