@@ -88,6 +88,20 @@ def snapshot_to_events(rows: DataFrame, src: SourceTable, *, offset: Column,
     )
 
 
+def read_jdbc_snapshot(spark: SparkSession, url: str, table: str, *, partition_column: str,
+                       lower_bound: int, upper_bound: int, num_partitions: int,
+                       properties: dict | None = None) -> DataFrame:
+    """An operational table read in parallel ranges of ``partition_column``.
+
+    Feed the result to ``snapshot_to_events`` (``op='r'``) to load existing rows
+    before live changes.  Not exercised in this repository's tests (no database
+    is started here); the call is Spark's standard partitioned JDBC read.
+    """
+    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
+                           upperBound=upper_bound, numPartitions=num_partitions,
+                           properties=dict(properties or {}))
+
+
 def select_topics(events: DataFrame, *, service: str | None = None,
                   topics: list[str] | None = None, model: VaultModel | None = None) -> DataFrame:
     """Keep the events of one service's include list (or an explicit topic list)."""
@@ -106,4 +120,4 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 __all__ = ["EVENT_SCHEMA", "FILE_EVENT_SCHEMA", "read_cdc_stream", "read_cdc_batch",
-           "snapshot_to_events", "select_topics", "read_csv", "event_value"]
+           "snapshot_to_events", "select_topics", "read_csv", "event_value", "read_jdbc_snapshot"]
