@@ -181,3 +181,19 @@ def test_hot_key_upsert(spark, model):
     sat = V.keyed_view(V.sat_rows(good, src, model.target("sat_users")), ["hk_users", "hash_diff"])
     assert sat.where(F.col("hk_users") == md5("hot")).count() == len({r["status"] for r in live
                                                                      if r["user_external_id"] == "hot"})
+
+
+def test_small_helpers(spark, model):
+    from vaultline.operators.quality import row_count
+    df = spark.createDataFrame([("a", "x"), ("", "y"), (None, "z")], "k string, v string")
+    assert [r["v"] for r in D.require_key(df, "k").collect()] == ["x"]
+    cls = df.withColumn("reject", F.when(F.col("k").isNull(), F.lit("missing_business_key")))
+    good, bad = D.split_rejects(cls)
+    assert good.count() == 2 and bad.count() == 1
+    meta = V.with_vault_meta(df, "topic.x", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    r = meta.first()
+    assert r["record_source"] == "topic.x" and str(r["load_dt"]) == "2024-01-01 00:00:00"
+    assert row_count(df, "t").first()["rows"] == 3
+    top = V.latest_rows(meta.withColumn("load_dt", F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,length(v))")),
+                        2, tie_break=("v",)).collect()
+    assert [x["v"] for x in top] == ["x", "y"]

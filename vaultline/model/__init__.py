@@ -82,10 +82,6 @@ class TargetTable:
     def column_names(self) -> list[str]:
         return [c[0] for c in self.columns]
 
-    @property
-    def order_columns(self) -> tuple:
-        return ("load_dt",)
-
 
 @dataclass(frozen=True)
 class SourceTable:

@@ -31,9 +31,6 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
-DECODED_COLUMNS = ["topic", "partition", "offset", "load_dt", "op", "after", "reject"]
-
-
 def envelope_schema(src: SourceTable) -> T.StructType:
     after = src.wire_schema
     inner = T.StructType([T.StructField("op", T.StringType()), T.StructField("after", after)])

@@ -330,12 +330,14 @@ def q_hub_lookup(spark, sf_dir):
 # ---- fan-out and model-driven load ---------------------------------------------
 
 def _counts(tables: dict[str, DataFrame], kinds: dict[str, str] | None = None) -> DataFrame:
+    """One row per vault table with its row count (F6 ``row_count`` per table)."""
+    from ..operators.quality import row_count
     parts = []
     for name, df in tables.items():
-        cols = [F.lit(name).alias("vault_table")]
+        cols = [F.col("table").alias("vault_table")]
         if kinds is not None:
             cols.append(F.lit(kinds[name]).alias("kind"))
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(*cols, "row_count"))
+        parts.append(row_count(df, name).select(*cols, F.col("rows").alias("row_count")))
     return reduce(DataFrame.unionByName, parts)
 
 

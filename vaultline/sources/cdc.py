@@ -21,13 +21,8 @@ from ..functions.dates import epoch_millis
 from ..model import SourceTable, VaultModel
 from ..operators.decode import EVENT_SCHEMA
 
-FILE_EVENT_SCHEMA = T.StructType([
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("value", T.StringType()),
-])
+# event files carry exactly the Kafka record columns
+FILE_EVENT_SCHEMA = EVENT_SCHEMA
 
 
 def read_cdc_stream(spark: SparkSession, topics: list[str], *, path: str | None = None,
