@@ -385,7 +385,9 @@ SELECT vault_table, kind, row_count FROM (
 
 @register("model_driven_load", _MODEL_COUNTS)
 def q_model_driven_load(spark, sf_dir):
-    """Every topic with a driver-table feed, classified and loaded by the model alone."""
+    """Every topic with a driver-table feed, classified and projected by the model
+    alone; rows each vault table receives (``streaming.loader.load_sources`` writes
+    the same tables, decoding each source once)."""
     model = _m()
     tables: dict[str, DataFrame] = {}
     kinds: dict[str, str] = {}
