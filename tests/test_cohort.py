@@ -83,12 +83,13 @@ def as_dict(df):
     return out
 
 
-@pytest.mark.parametrize("plan", ["reference", "one_pass", "one_pass_prepartitioned"])
+@pytest.mark.parametrize("plan", ["reference", "one_pass", "one_pass_prepartitioned", "sql_view"])
 def test_edges_match_model(spark, plan):
     df = spark.createDataFrame(EDGE_ORDERS, SCHEMA)
     res = {"reference": lambda: C.cohort_analysis(df),
            "one_pass": lambda: C.cohort_one_pass(df),
-           "one_pass_prepartitioned": lambda: C.cohort_one_pass(df, pre_partition=True)}[plan]()
+           "one_pass_prepartitioned": lambda: C.cohort_one_pass(df, pre_partition=True),
+           "sql_view": lambda: C.create_cohort_view_sql(spark, df, name="cohort_edges_view")}[plan]()
     got = as_dict(res)
     assert got == model_report(EDGE_ORDERS)
     # NULL cohort sorts last; period 0 is 100.00 for every dated cohort

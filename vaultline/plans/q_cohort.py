@@ -81,7 +81,8 @@ def q_cohort_one_pass(spark, sf_dir):
 
 @register("cohort_view", _REPORT_SQL)
 def q_cohort_view(spark, sf_dir):
-    return _report_types(C.register_cohort_view(spark, cohort_orders(spark, sf_dir)))
+    """CREATE OR REPLACE VIEW with the report's SQL text, then SELECT * from the view."""
+    return _report_types(C.create_cohort_view_sql(spark, cohort_orders(spark, sf_dir)))
 
 
 @register("first_purchase", _BASE + "SELECT user_external_id, cohort_month FROM fp")
