@@ -38,8 +38,12 @@ def round_div(num, den, digits: int = 2, num_scale: int = 0) -> Column:
     twice_d = (F.abs(d) * 2).cast("decimal(38,0)")
     # floor(twice_n / twice_d) without any rounding step: subtract the remainder first
     q = ((twice_n - twice_n % twice_d) / twice_d).cast("decimal(38,0)")
-    signed = (q * F.signum(n) * F.signum(d)).cast("decimal(38,0)")
-    return signed.cast("double") / F.lit(float(10 ** digits))
+    # sign by comparison: F.signum returns DOUBLE and would turn the product into floating point
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q).cast("decimal(38,0)")
+    exact = (signed / F.lit(10 ** digits).cast("decimal(38,0)")).cast(f"decimal(38,{digits})")
+    # decimal text -> double is correctly rounded at any magnitude; a double
+    # division of the integer would round twice above 2**53 units
+    return exact.cast("string").cast("double")
 
 
 def pct(part, whole, digits: int = 2) -> Column:

@@ -11,7 +11,9 @@ def round_div_sql(num_int: str, den: str, digits: int = 2) -> str:
     n = f"CAST({num_int} AS HUGEINT)"
     d = f"CAST(NULLIF({den}, 0) AS HUGEINT)"
     q = f"(sign({n}) * ((abs({n}) * 2 + abs({d})) // (2 * abs({d}))))"
-    return f"(CAST({q} AS DOUBLE) / {10 ** digits})"
+    unit = f"CAST('{1 / 10 ** digits:.{digits}f}' AS DECIMAL({digits + 1},{digits}))"
+    exact = f"CAST(CAST({q} AS DECIMAL(36,0)) * {unit} AS DECIMAL(38,{digits}))"
+    return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
 
 
 def pct_sql(part: str, whole: str) -> str:
