@@ -61,51 +61,70 @@ def _hash_diff(attrs) -> Column:
     return hash_diff([(a.name, _after(a.name), a.wire_kind) for a in attrs]).alias("hash_diff")
 
 
+def _hub_keys(src: SourceTable) -> tuple[Column, list[Column]]:
+    bk = _after(src.business_key.name)
+    return bk.isNotNull(), [hub_hash(bk)]
+
+
+def target_keys(src: SourceTable, target: TargetTable) -> tuple[Column, list[Column] | None]:
+    """(row condition, unique-key expressions) of a vault table over decoded rows.
+
+    The condition is which events produce a row (business key present; every
+    referenced key present and non-empty for links and link satellites; parent
+    key for history rows).  Keys are ``None`` for append-only history tables.
+    """
+    bk = _after(src.business_key.name) if src.business_key is not None else None
+    refs_ok = F.lit(True)
+    for r in target.refs:
+        refs_ok = refs_ok & present(_after(r.field))
+    if target.kind == "hub":
+        return _hub_keys(src)
+    if target.kind == "link":
+        if bk is not None:
+            return refs_ok & bk.isNotNull(), [_link_key(target.refs, hub_hash(bk))]
+        return refs_ok, [_link_key(target.refs)]
+    if target.kind == "sat":
+        if bk is not None:
+            return bk.isNotNull(), [hub_hash(bk), _hash_diff(target.attrs)]
+        return refs_ok, [_link_key(target.refs), _hash_diff(target.attrs)]
+    return present(_after(target.refs[0].field)), None
+
+
 def hub_rows(decoded: DataFrame, src: SourceTable, batch_id=0) -> DataFrame:
+    cond, (key,) = _hub_keys(src)
     bk = _after(src.business_key.name)
-    return decoded.where(bk.isNotNull()).select(
-        hub_hash(bk).alias(hk(src.name)), bk.cast("string").alias(src.business_key.name), *_meta(batch_id),
+    return decoded.where(cond).select(
+        key.alias(hk(src.name)), bk.cast("string").alias(src.business_key.name), *_meta(batch_id),
         F.col("load_dt").alias(FIRST_SEEN))
 
 
 def link_rows(decoded: DataFrame, src: SourceTable, target: TargetTable, batch_id=0) -> DataFrame:
     """Link rows; skipped when any referenced business key is NULL or empty."""
+    cond, (key,) = target_keys(src, target)
     refs = target.refs
-    ok = F.lit(True)
-    for r in refs:
-        ok = ok & present(_after(r.field))
     if src.business_key is not None:
-        own = hub_hash(_after(src.business_key.name))
         r = refs[0]
-        return decoded.where(ok & _after(src.business_key.name).isNotNull()).select(
-            _link_key(refs, own).alias(hk(target.name)),
-            own.alias(hk(src.name)), _ref_hk(r).alias(hk(r.target)), *_meta(batch_id))
-    return decoded.where(ok).select(
-        _link_key(refs).alias(hk(target.name)),
-        *[_ref_hk(r).alias(hk(r.target)) for r in refs], *_meta(batch_id))
+        return decoded.where(cond).select(
+            key.alias(hk(target.name)), hub_hash(_after(src.business_key.name)).alias(hk(src.name)),
+            _ref_hk(r).alias(hk(r.target)), *_meta(batch_id))
+    return decoded.where(cond).select(
+        key.alias(hk(target.name)), *[_ref_hk(r).alias(hk(r.target)) for r in refs], *_meta(batch_id))
 
 
 def sat_rows(decoded: DataFrame, src: SourceTable, target: TargetTable, batch_id=0,
              coercion: str = "typed") -> DataFrame:
     """Satellite rows on a hub (or on a link for link tables), keyed by content hash."""
-    attrs = target.attrs
-    if src.business_key is not None:
-        key = hub_hash(_after(src.business_key.name)).alias(target.distribute_by)
-        rows = decoded.where(_after(src.business_key.name).isNotNull())
-    else:
-        ok = F.lit(True)
-        for r in target.refs:
-            ok = ok & present(_after(r.field))
-        key = _link_key(target.refs).alias(target.distribute_by)
-        rows = decoded.where(ok)
-    return rows.select(key, _hash_diff(attrs), *_meta(batch_id), *_attr_values(attrs, coercion))
+    cond, (key, diff) = target_keys(src, target)
+    return decoded.where(cond).select(key.alias(target.distribute_by), diff, *_meta(batch_id),
+                                      *_attr_values(target.attrs, coercion))
 
 
 def history_rows(decoded: DataFrame, src: SourceTable, target: TargetTable, batch_id=0,
                  coercion: str = "typed") -> DataFrame:
     """Append-only history rows keyed by the parent hub; rows without a parent key skip."""
+    cond, _ = target_keys(src, target)
     r = target.refs[0]
-    return decoded.where(present(_after(r.field))).select(
+    return decoded.where(cond).select(
         _ref_hk(r).alias(hk(r.target)), F.col("load_dt"), _hash_diff(target.attrs),
         F.col("topic").alias("record_source"), _order(batch_id),
         *_attr_values(target.attrs, coercion))
@@ -135,6 +154,34 @@ def keyed_view(df: DataFrame, keys, order: str = ORDER, keep_order: bool = False
     return agg.select(*cols)
 
 
+def loaded_targets(model: VaultModel, src: SourceTable) -> list[TargetTable]:
+    """The vault tables a topic actually loads (links the model marks ``load: false`` skip)."""
+    return [t for t in model.plan_table(src)
+            if not (t.kind == "link" and not all(r.load or model.load_all for r in t.refs))]
+
+
+def count_loaded(decoded: DataFrame, model: VaultModel, src: SourceTable) -> DataFrame:
+    """Rows each vault table of the topic ends up with, from ONE pass over the events.
+
+    Keyed tables count distinct unique keys among the rows their condition
+    admits, history tables count admitted rows; all tables of the topic are
+    counted in a single aggregate (Spark expands each row once per distinct key
+    set and dedups map-side), so the source is scanned once however many
+    tables it feeds.  Returns (vault_table, kind, row_count).
+    """
+    targets = loaded_targets(model, src)
+    aggs = []
+    for i, t in enumerate(targets):
+        cond, keys = target_keys(src, t)
+        if keys is None:
+            aggs.append(F.count(F.when(cond, 1)).alias(f"c{i}"))
+        else:
+            aggs.append(F.countDistinct(*[F.when(cond, k) for k in keys]).alias(f"c{i}"))
+    wide = decoded.agg(*aggs)
+    stack = ", ".join(f"'{t.name}', '{t.kind}', c{i}" for i, t in enumerate(targets))
+    return wide.selectExpr(f"stack({len(targets)}, {stack}) AS (vault_table, kind, row_count)")
+
+
 def load_topic(decoded: DataFrame, model: VaultModel, src: SourceTable, batch_id=0,
                coercion: str = "typed", dedup: bool = True) -> dict[str, DataFrame]:
     """Fan one topic's good events out to every vault table it feeds.
@@ -144,9 +191,7 @@ def load_topic(decoded: DataFrame, model: VaultModel, src: SourceTable, batch_id
     never reach storage; ``_order`` is kept for the cross-batch keyed read.
     """
     out: dict[str, DataFrame] = {}
-    for t in model.plan_table(src):
-        if t.kind == "link" and not all(r.load or model.load_all for r in t.refs):
-            continue
+    for t in loaded_targets(model, src):
         if t.kind == "hub":
             df = hub_rows(decoded, src, batch_id)
         elif t.kind == "link":

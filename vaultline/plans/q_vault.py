@@ -329,18 +329,6 @@ def q_hub_lookup(spark, sf_dir):
 
 # ---- fan-out and model-driven load ---------------------------------------------
 
-def _counts(tables: dict[str, DataFrame], kinds: dict[str, str] | None = None) -> DataFrame:
-    """One row per vault table with its row count (F6 ``row_count`` per table)."""
-    from ..operators.quality import row_count
-    parts = []
-    for name, df in tables.items():
-        cols = [F.col("table").alias("vault_table")]
-        if kinds is not None:
-            cols.append(F.lit(kinds[name]).alias("kind"))
-        parts.append(row_count(df, name).select(*cols, F.col("rows").alias("row_count")))
-    return reduce(DataFrame.unionByName, parts)
-
-
 @register("topic_fanout", """
 SELECT 'hub_orders' AS vault_table, COUNT(DISTINCT o_orderkey) AS row_count FROM orders
 UNION ALL SELECT 'lnk_orders_users', COUNT(DISTINCT (o_orderkey, o_custkey)) FROM orders
@@ -351,7 +339,7 @@ def q_topic_fanout(spark, sf_dir):
     """One orders event -> hub, two links (the address link skips: no address key), satellite."""
     src = _m().source("orders")
     good = _good(feeds.orders_decoded(spark, sf_dir), "orders")
-    return _counts(V.load_topic(good, _m(), src))
+    return V.count_loaded(good, _m(), src).drop("kind")
 
 
 _MODEL_COUNTS = """
@@ -385,19 +373,13 @@ SELECT vault_table, kind, row_count FROM (
 
 @register("model_driven_load", _MODEL_COUNTS)
 def q_model_driven_load(spark, sf_dir):
-    """Every topic with a driver-table feed, classified and projected by the model
-    alone; rows each vault table receives (``streaming.loader.load_sources`` writes
-    the same tables, decoding each source once)."""
+    """Every topic with a driver-table feed, classified by the model alone; rows each
+    vault table receives, one scan per source (``streaming.loader.load_sources``
+    writes the same tables)."""
     model = _m()
-    tables: dict[str, DataFrame] = {}
-    kinds: dict[str, str] = {}
-    for name, feed in feeds.DECODED_FEEDS.items():
-        src = model.source(name)
-        good = _good(feed(spark, sf_dir), name)
-        for tname, df in V.load_topic(good, model, src).items():
-            tables[tname] = df
-            kinds[tname] = model.target(tname).kind
-    return _counts(tables, kinds)
+    parts = [V.count_loaded(_good(feed(spark, sf_dir), name), model, model.source(name))
+             for name, feed in feeds.DECODED_FEEDS.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- conform, insert-ignore -----------------------------------------------------
