@@ -155,3 +155,21 @@ def test_bulk_load_matches_model_driven_counts(spark, model):
     got = {t: store.read(t).count() for t in want}
     assert got == want
     assert all(metrics[t] == want[t] for t in want)
+
+
+def test_bounded_micro_batches(spark, model):
+    """max_files_per_trigger=1: one micro-batch per delivered file, same vault as one batch."""
+    ev = feeds.user_changes_json(spark, SF_SMALL).coalesce(1)
+    ts = F.col("timestamp").cast("timestamp_ntz")
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    root_a, root_b = fresh_dir(spark, "t-bound-a"), fresh_dir(spark, "t-bound-b")
+    for part in (ev.where(ts < cut), ev.where(ts >= cut)):
+        part.write.mode("append").json(f"{root_a}/events")
+    ev.write.json(f"{root_b}/events")
+    a = VaultStore(spark, f"{root_a}/vault", model)
+    b = VaultStore(spark, f"{root_b}/vault", model)
+    run_available(spark, model, a, f"{root_a}/ckpt", f"{root_a}/events", max_files_per_trigger=1)
+    run_available(spark, model, b, f"{root_b}/ckpt", f"{root_b}/events")
+    assert spark.read.parquet(f"{root_a}/vault/_metrics").select("batch_id").distinct().count() == 2
+    for t in ("hub_users", "sat_users"):
+        assert sorted(tuple(r) for r in a.read(t).collect()) == sorted(tuple(r) for r in b.read(t).collect()), t
