@@ -10,8 +10,6 @@ from .registry import register
 from .sqltext import pct_sql, round_div_sql
 from ..functions.dates import month_trunc, period_num
 
-_REPORT_PCTS = [f"period_{i}_pct" for i in range(C.PERIODS)]
-
 
 def _report_types(df):
     """Money columns as DOUBLE for comparison with the oracle."""
