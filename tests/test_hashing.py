@@ -60,3 +60,22 @@ def test_hub_and_link_hash(spark):
 def test_hub_hash_of_integer_key_is_text_hash(spark):
     df = spark.createDataFrame([(42,)], T.StructType([T.StructField("k", T.LongType())]))
     assert df.select(hub_hash("k")).first()[0] == py_md5(42)
+
+
+def test_canonical_json_property(spark):
+    """Arbitrary Unicode (no lone surrogates): Spark's JSON text equals json.dumps."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.characters(blacklist_categories=("Cs",))
+
+    @settings(max_examples=3, derandomize=True, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+    @given(st.lists(st.text(alphabet=alphabet, max_size=24), min_size=150, max_size=150))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+        got = {r["i"]: r["j"] for r in df.select("i", canonical_json([("s", F.col("s"), "string")]).alias("j")).collect()}
+        for i, v in enumerate(values):
+            assert got[i] == json.dumps({"s": v}, sort_keys=True), repr(v)
+
+    check()
