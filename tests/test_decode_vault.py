@@ -197,3 +197,33 @@ def test_small_helpers(spark, model):
     top = V.latest_rows(meta.withColumn("load_dt", F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,length(v))")),
                         2, tie_break=("v",)).collect()
     assert [x["v"] for x in top] == ["x", "y"]
+
+
+def test_old_timestamps_typed_and_compat(spark, model):
+    """Before 1970 and before 2001-09-09 (<= 10**12 ms): typed is right; the compat guess
+    reads small millis in a date-named column as days and overflows (NULL -> bad_value)."""
+    src = model.source("users")
+    rows = [ev(TOPIC_U, 1, env(user("u1", date_of_birth=-3650, registration_date=-86400000))),
+            ev(TOPIC_U, 2, env(user("u2", registration_date=999999999999)))]
+    dec = D.decode_topic(frame(spark, rows), src)
+    t = model.target("sat_users")
+    typed = {r["hk_users"]: r for r in V.sat_rows(dec, src, t).collect()}
+    compat = {r["hk_users"]: r for r in V.sat_rows(dec, src, t, coercion="compat").collect()}
+    import datetime as dt
+    dob = str(dt.date(1970, 1, 1) - dt.timedelta(days=3650))
+    assert str(typed[md5("u1")]["date_of_birth"]) == dob
+    assert str(typed[md5("u1")]["registration_date"]) == "1969-12-31 00:00:00"
+    assert str(typed[md5("u2")]["registration_date"]) == "2001-09-09 01:46:39.999000"
+    assert compat[md5("u2")]["registration_date"] is None          # 999999999999 "days": out of range
+    assert str(compat[md5("u1")]["date_of_birth"]) == dob           # a small int in a date column: days
+
+
+def test_load_all_fills_never_loaded_columns():
+    from vaultline.model import VaultModel
+    strict, full = VaultModel.load(), VaultModel.load(load_all=True)
+    assert "region" not in {a.name for a in strict.target("sat_user_addresses").attrs}
+    assert "region" in {a.name for a in full.target("sat_user_addresses").attrs}
+    assert "created_at" not in {a.name for a in full.target("sat_users").attrs}     # technical stays dropped
+    names = lambda m: {t.name for t in V.loaded_targets(m, m.source("shipments"))}
+    assert "lnk_shipments_user_addresses" not in names(strict)
+    assert "lnk_shipments_user_addresses" in names(full)
