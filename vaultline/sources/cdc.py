@@ -26,18 +26,22 @@ FILE_EVENT_SCHEMA = EVENT_SCHEMA
 
 
 def read_cdc_stream(spark: SparkSession, topics: list[str], *, path: str | None = None,
-                    kafka_options: dict | None = None, max_files_per_trigger: int | None = None
-                    ) -> DataFrame:
+                    kafka_options: dict | None = None, max_files_per_trigger: int | None = None,
+                    starting_offsets: str = "earliest", group_id: str | None = None) -> DataFrame:
     """Streaming change events of ``topics``, earliest first.
 
     ``kafka_options`` (e.g. ``{"kafka.bootstrap.servers": ...}``) selects the
     Kafka source; otherwise ``path`` is a folder of JSON-lines event files.
+    Offsets are tracked in the query checkpoint; ``group_id`` only names the
+    consumer group on the broker (for monitoring and quotas).
     """
     if kafka_options is not None:
-        df = (spark.readStream.format("kafka")
-              .option("subscribe", ",".join(topics))
-              .option("startingOffsets", "earliest")
-              .options(**kafka_options).load())
+        reader = (spark.readStream.format("kafka")
+                  .option("subscribe", ",".join(topics))
+                  .option("startingOffsets", starting_offsets))
+        if group_id:
+            reader = reader.option("kafka.group.id", group_id)
+        df = reader.options(**kafka_options).load()
         return df.select("topic", "partition", "offset", "timestamp",
                          F.col("value").cast("string").alias("value"))
     if path is None:
