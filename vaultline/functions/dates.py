@@ -28,13 +28,19 @@ def add_months(c, months: int) -> Column:
     return _c(c) + F.expr(f"INTERVAL {int(months)} MONTHS")
 
 
+def months_between_starts(cohort_month, month) -> Column:
+    """Whole months from one month start to another: (year, month) arithmetic, no time zone involved."""
+    c, m = _c(cohort_month), _c(month)
+    return (F.year(m) - F.year(c)) * 12 + (F.month(m) - F.month(c))
+
+
 def period_num(activity_month, cohort_month) -> Column:
     """EXTRACT(MONTH FROM AGE(activity_month, cohort_month)) for month starts.
 
     AGE's month field is the whole-month difference modulo 12 (sign kept), so a
     return after 12 months maps to 0 exactly as the reference computes it.
     """
-    diff = F.timestamp_diff("MONTH", _c(cohort_month), _c(activity_month))
+    diff = months_between_starts(cohort_month, activity_month)
     return (diff % F.lit(12)).cast("int")
 
 
