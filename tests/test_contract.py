@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.check_oracle import duck, rows_of
+from vaultline.plans import registry
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 def test_entry_runs(spark):
@@ -21,6 +22,11 @@ def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(E.queries())
+    assert set(ORACLES) <= set(E.oracle_sql()) <= set(E.queries())
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_SMALL)

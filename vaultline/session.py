@@ -9,7 +9,6 @@ folder would not survive the loss of the driver host, so we refuse instead.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -26,11 +25,19 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "vaultline", extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app_name)
+    """A session with the package's settings.
+
+    Master and shuffle partitions are set only when the caller names them (tests, tools, the bench):
+    on a cluster they come from spark-submit, and a master set in code would override it.
+    """
+    b = SparkSession.builder.appName(app_name)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -59,8 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, never-reused folder under the shared root for one run."""
+    """A new, never-reused folder under the shared root for one run, made by the folder's own file system."""
     path = f"{checkpoint_root(spark)}/vaultline/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
     return path
