@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import pii, quality
 
 QUERIES = {
+    "op5_pii": pii.op5_pii,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}
