@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import pii, quality
+from . import decontaminate, pii, quality
 
 QUERIES = {
     "op5_pii": pii.op5_pii,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 ORACLES: dict[str, str] = {}
