@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, pii, quality
+from . import dartminhash, decontaminate, pii, quality
 
 QUERIES = {
+    "op2_dart_minhash": dartminhash.op2_dart_minhash,
     "op5_pii": pii.op5_pii,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_quality_rules": quality.op9_quality_rules,
