@@ -94,7 +94,9 @@ def assess(docs: DataFrame, min_words: int = 10, max_repeat_pct: int = 20, max_l
 
 def clean(docs: DataFrame, **rules) -> DataFrame:
     """The documents that pass, failing lines removed, with all columns of ``docs``."""
-    d = assess(docs, **rules).where("kept")
+    # a condition on a value that cannot be moved keeps the filter above the rules; pushed below them, it would
+    # repeat the rules inside each other
+    d = assess(docs, **rules).withColumn("_at", F.monotonically_increasing_id()).where("kept and _at >= 0")
     new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
     types = dict(docs.dtypes)
     return d.select(*[(new[c].cast(types[c]) if c in new else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from . import dartminhash, decontaminate, pii, quality
+import corpus_pipeline
+
+from . import dartminhash, decontaminate, mixing, pii, quality
 
 QUERIES = {
     "op2_dart_minhash": dartminhash.op2_dart_minhash,
+    "op3_source_mix": mixing.op3_source_mix,
     "op5_pii": pii.op5_pii,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_quality_rules": quality.op9_quality_rules,
+    "pipeline": corpus_pipeline.run,
+}
+ORACLES: dict[str, str] = {
+    "op3_source_mix": mixing.ORACLE,
 }
-ORACLES: dict[str, str] = {}
 
 
 def queries() -> dict:
@@ -18,4 +24,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
+    if corpus_pipeline.ORACLE_SQL:
+        return {**ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
     return dict(ORACLES)
