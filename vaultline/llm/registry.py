@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import dartminhash, decontaminate, mixing, pii, quality
+from . import dartminhash, decontaminate, mixing, pii, quality, superkmer
 
 QUERIES = {
     "op2_dart_minhash": dartminhash.op2_dart_minhash,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_pii": pii.op5_pii,
+    "op6_substring_dedup": superkmer.op6_substring_dedup,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_quality_rules": quality.op9_quality_rules,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.ORACLE,
+    "op6_substring_dedup": superkmer.ORACLE,
 }
 
 
