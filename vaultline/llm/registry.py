@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import dartminhash, decontaminate, mixing, pii, quality, superkmer
+from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer
 
 QUERIES = {
+    "op1_kneser_ney": lm.op1_kneser_ney,
     "op2_dart_minhash": dartminhash.op2_dart_minhash,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_pii": pii.op5_pii,
