@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer
+from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer, warc
 
 QUERIES = {
     "op1_kneser_ney": lm.op1_kneser_ney,
@@ -13,12 +13,14 @@ QUERIES = {
     "op5_pii": pii.op5_pii,
     "op6_substring_dedup": superkmer.op6_substring_dedup,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op10_warc": warc.op10_warc,
     "op9_quality_rules": quality.op9_quality_rules,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.ORACLE,
     "op6_substring_dedup": superkmer.ORACLE,
+    "op10_warc": warc.ORACLE,
 }
 
 
