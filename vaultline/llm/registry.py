@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer, warc
+from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer, toxicity, warc
 
 QUERIES = {
     "op1_kneser_ney": lm.op1_kneser_ney,
     "op2_dart_minhash": dartminhash.op2_dart_minhash,
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_pii": pii.op5_pii,
     "op6_substring_dedup": superkmer.op6_substring_dedup,
     "op8_decontaminate": decontaminate.op8_decontaminate,
