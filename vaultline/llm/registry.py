@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer, toxicity, warc
+from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer, toollink, toxicity, warc
 
 QUERIES = {
     "op1_kneser_ney": lm.op1_kneser_ney,
@@ -13,6 +13,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_pii": pii.op5_pii,
     "op6_substring_dedup": superkmer.op6_substring_dedup,
+    "op7_tool_links": toollink.op7_tool_links,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op10_warc": warc.op10_warc,
     "op9_quality_rules": quality.op9_quality_rules,
@@ -21,6 +22,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.ORACLE,
     "op6_substring_dedup": superkmer.ORACLE,
+    "op7_tool_links": toollink.ORACLE,
     "op10_warc": warc.ORACLE,
 }
 
