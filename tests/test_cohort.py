@@ -1,4 +1,4 @@
-"""Cohort report: both plans equal a brute-force model on the edge cases."""
+"""Cohort report: the report equals a brute-force model on the edge cases."""
 
 import datetime as dt
 from collections import defaultdict
@@ -83,13 +83,12 @@ def as_dict(df):
     return out
 
 
-@pytest.mark.parametrize("plan", ["reference", "one_pass", "one_pass_prepartitioned", "sql_view"])
+@pytest.mark.parametrize("plan", ["report", "prepartitioned", "view"])
 def test_edges_match_model(spark, plan):
     df = spark.createDataFrame(EDGE_ORDERS, SCHEMA)
-    res = {"reference": lambda: C.cohort_analysis(df),
-           "one_pass": lambda: C.cohort_one_pass(df),
-           "one_pass_prepartitioned": lambda: C.cohort_one_pass(df, pre_partition=True),
-           "sql_view": lambda: C.create_cohort_view_sql(spark, df, name="cohort_edges_view")}[plan]()
+    res = {"report": lambda: C.cohort_report(df),
+           "prepartitioned": lambda: C.cohort_report(df, pre_partition=True),
+           "view": lambda: C.register_cohort_view(spark, df, name="cohort_edges_view")}[plan]()
     got = as_dict(res)
     assert got == model_report(EDGE_ORDERS)
     # NULL cohort sorts last; period 0 is 100.00 for every dated cohort
@@ -99,7 +98,7 @@ def test_edges_match_model(spark, plan):
 
 
 def test_null_cohort_row(spark):
-    got = as_dict(C.cohort_one_pass(spark.createDataFrame(EDGE_ORDERS, SCHEMA)))
+    got = as_dict(C.cohort_report(spark.createDataFrame(EDGE_ORDERS, SCHEMA)))
     assert got[None] == (1, [0.0] * 6, None, 0.0)
 
 
@@ -113,15 +112,44 @@ def test_half_up_percentages(spark):
     assert [r[0] for r in money.select(round_div("m", "s", 2, num_scale=2)).collect()] == [0.03, 2.5]
 
 
-def test_one_pass_equals_reference_on_driver_tables(spark):
-    from tests.conftest import SF_SMALL
-    from vaultline.plans.marketplace import cohort_orders
-    orders = cohort_orders(spark, SF_SMALL)
-    assert as_dict(C.cohort_one_pass(orders)) == as_dict(C.cohort_analysis(orders))
+def test_orders_without_a_user_count_nowhere(spark):
+    rows = [(1, D(2020, 1, 1), Decimal("5.00")), (None, D(2020, 1, 2), Decimal("10.00")), (None, D(2020, 2, 2), Decimal("1.00"))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert as_dict(C.cohort_report(df)) == {D(2020, 1, 1): (1, [100.0] + [0.0] * 5, 5.0, 5.0)}
+    alone = C.cohort_report(spark.createDataFrame(rows[1:], SCHEMA)).collect()
+    assert [(r["cohort_size"], r["total_cohort_revenue"], r["period_0_pct"]) for r in alone] == [(0, None, None)]
+    assert C.with_cohort_month(df).count() == 1
+
+
+def test_windows_above_a_year_are_refused(spark):
+    df = spark.createDataFrame(EDGE_ORDERS, SCHEMA)
+    assert len(C.cohort_report(df, 12).columns) == 16
+    for bad in (0, 13):
+        with pytest.raises(ValueError, match="1 to 12 months"):
+            C.cohort_report(df, bad)
+
+
+def test_rows_of_a_hot_user_are_spread(spark):
+    """Without broadcasts, a user with a third of the orders does not fill one task of the row-level join."""
+    from pyspark.sql import functions as F
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("user_external_id"),
+                                   F.expr("timestampadd(DAY, cast(id % 90 as int), TIMESTAMP_NTZ'2020-01-01 00:00:00')").alias("order_date"),
+                                   F.lit(1).cast("decimal(18,2)").alias("total_amount"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        per_task = C.with_cohort_month(df).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in per_task) == 30000
+    assert max(r["count"] for r in per_task) < 3 * 30000 / 16
 
 
 def test_hot_user_owning_a_third_of_orders(spark):
-    """Skew: one user owns a third of all orders; both plans still equal the model."""
+    """Skew: one user owns a third of all orders; the report still equals the model."""
     from pyspark.sql import functions as F
     from tests.conftest import SF_SMALL
     from vaultline.plans.marketplace import table
@@ -133,5 +161,4 @@ def test_hot_user_owning_a_third_of_orders(spark):
     rows = [(r[0], r[1], r[2]) for r in hot.collect()]
     assert sum(1 for r in rows if r[0] == -1) * 3 >= len(rows) - 3
     want = model_report(rows)
-    assert as_dict(C.cohort_one_pass(hot)) == want
-    assert as_dict(C.cohort_analysis(hot)) == want
+    assert as_dict(C.cohort_report(hot)) == want

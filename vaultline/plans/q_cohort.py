@@ -1,4 +1,4 @@
-"""Cohort report queries (reference form, one-pass form and each step)."""
+"""Cohort report queries: the report, its view, each step, and the row-level views."""
 
 from __future__ import annotations
 
@@ -11,135 +11,106 @@ from .sqltext import pct_sql, round_div_sql
 from ..functions.dates import month_trunc, period_num
 
 
-def _report_types(df):
-    """Money columns as DOUBLE for comparison with the oracle."""
-    return df.withColumn("total_cohort_revenue", F.col("total_cohort_revenue").cast("double"))
-
-
-# DuckDB form of the reference CTEs over the driver's orders table.
-_BASE = """
-WITH o AS (
-    SELECT o_custkey AS user_external_id, o_orderdate AS order_date,
-           CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount
-    FROM orders),
-fp AS (
-    SELECT user_external_id,
-           CAST(date_trunc('month', MIN(order_date)) AS TIMESTAMP) AS cohort_month
-    FROM o GROUP BY user_external_id),
-cs AS (
-    SELECT cohort_month, COUNT(DISTINCT user_external_id) AS cohort_size
-    FROM fp GROUP BY cohort_month),
-ua AS (
-    SELECT o.user_external_id,
-           CAST(date_trunc('month', o.order_date) AS TIMESTAMP) AS activity_month,
-           fp.cohort_month,
-           CAST(datediff('month', fp.cohort_month, date_trunc('month', o.order_date)) % 12 AS INTEGER) AS period_num,
-           o.total_amount, o.order_date
-    FROM o JOIN fp ON o.user_external_id = fp.user_external_id
-    WHERE o.order_date < fp.cohort_month + INTERVAL 6 MONTH),
-ca AS (
-    SELECT cohort_month, period_num,
-           COUNT(DISTINCT user_external_id) AS active_users,
-           SUM(total_amount) AS period_revenue
-    FROM ua WHERE period_num >= 0 GROUP BY cohort_month, period_num),
-cp AS (
-    SELECT cs.cohort_month, cs.cohort_size,
-""" + ",\n".join(
-    f"           MAX(CASE WHEN ca.period_num = {i} THEN ca.active_users ELSE 0 END) AS period_{i}_active"
-    for i in range(C.PERIODS)) + """
-    FROM cs LEFT JOIN ca ON cs.cohort_month = ca.cohort_month
-    GROUP BY cs.cohort_month, cs.cohort_size),
-cr AS (
-    SELECT fp.cohort_month, SUM(o.total_amount) AS total_cohort_revenue
-    FROM o JOIN fp ON o.user_external_id = fp.user_external_id
-    WHERE o.order_date < fp.cohort_month + INTERVAL 6 MONTH
-    GROUP BY fp.cohort_month)
-"""
+def _months(spark, sf_dir):
+    return C.user_months(cohort_orders(spark, sf_dir))
+
+
+def _as_double(df, column):
+    """Money as DOUBLE for comparison with the oracle."""
+    return df.withColumn(column, F.col(column).cast("double"))
 
-_REPORT_SQL = _BASE + """
-SELECT cp.cohort_month, cp.cohort_size,
-""" + ",\n".join(f"       {pct_sql(f'cp.period_{i}_active', 'cp.cohort_size')} AS period_{i}_pct"
-                for i in range(C.PERIODS)) + """,
-       CAST(cr.total_cohort_revenue AS DOUBLE) AS total_cohort_revenue,
-       """ + round_div_sql("COALESCE(cr.total_cohort_revenue, 0) * 100", "cp.cohort_size") + """ AS avg_revenue_per_customer
-FROM cp LEFT JOIN cr ON cp.cohort_month = cr.cohort_month
-ORDER BY cp.cohort_month NULLS LAST
+
+# The oracle tags each order with its age in months since its user's first order, and filters aggregates by it.
+_AGED = """
+WITH aged AS (
+    SELECT *, (year(ordered) - year(began)) * 12 + month(ordered) - month(began) AS age
+    FROM (SELECT o_orderkey, o_custkey AS buyer, o_orderdate AS ordered, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+                 CAST(date_trunc('month', min(o_orderdate) OVER (PARTITION BY o_custkey)) AS TIMESTAMP) AS began
+          FROM orders))
 """
+_IN = f"age < {C.PERIODS}"
+
 
+def _active(i: int) -> str:
+    return f"count(DISTINCT buyer) FILTER (WHERE age = {i})"
 
-@register("cohort_analysis", _REPORT_SQL)
+
+_REPORT = _AGED + "SELECT began AS cohort_month, count(DISTINCT buyer) AS cohort_size, " + ", ".join(
+    f"{pct_sql(_active(i), 'count(DISTINCT buyer)')} AS period_{i}_pct" for i in range(C.PERIODS)) + f""",
+       CAST(sum(amount) FILTER (WHERE {_IN}) AS DOUBLE) AS total_cohort_revenue,
+       {round_div_sql(f"coalesce(sum(amount) FILTER (WHERE {_IN}), 0) * 100", "count(DISTINCT buyer)")} AS avg_revenue_per_customer
+FROM aged GROUP BY began"""
+
+
+@register("cohort_analysis", _REPORT)
 def q_cohort_analysis(spark, sf_dir):
-    return _report_types(C.cohort_analysis(cohort_orders(spark, sf_dir)))
+    return _as_double(C.cohort_report(cohort_orders(spark, sf_dir)), "total_cohort_revenue")
 
 
-@register("cohort_one_pass", _REPORT_SQL)
+@register("cohort_one_pass", _REPORT)
 def q_cohort_one_pass(spark, sf_dir):
-    return _report_types(C.cohort_one_pass(cohort_orders(spark, sf_dir)))
+    return _as_double(C.cohort_report(cohort_orders(spark, sf_dir)), "total_cohort_revenue")
 
 
-@register("cohort_view", _REPORT_SQL)
+@register("cohort_view", _REPORT)
 def q_cohort_view(spark, sf_dir):
-    """CREATE OR REPLACE VIEW with the report's SQL text, then SELECT * from the view."""
-    return _report_types(C.create_cohort_view_sql(spark, cohort_orders(spark, sf_dir)))
+    """CREATE OR REPLACE VIEW over the report, then all of the view."""
+    return _as_double(C.register_cohort_view(spark, cohort_orders(spark, sf_dir)), "total_cohort_revenue")
 
 
-@register("first_purchase", _BASE + "SELECT user_external_id, cohort_month FROM fp")
+@register("first_purchase", _AGED + "SELECT DISTINCT buyer AS user_external_id, began AS cohort_month FROM aged")
 def q_first_purchase(spark, sf_dir):
     return C.first_purchase(cohort_orders(spark, sf_dir))
 
 
-@register("cohort_size", _BASE + "SELECT cohort_month, cohort_size FROM cs")
+@register("cohort_size", _AGED + "SELECT began AS cohort_month, count(DISTINCT buyer) AS cohort_size FROM aged GROUP BY began")
 def q_cohort_size(spark, sf_dir):
-    return C.cohort_size(C.first_purchase(cohort_orders(spark, sf_dir)))
+    return C.cohort_size(_months(spark, sf_dir))
+
+
+_ROWS = f"""buyer AS user_external_id, CAST(date_trunc('month', ordered) AS TIMESTAMP) AS activity_month,
+       began AS cohort_month, CAST(age AS INTEGER) AS period_num, CAST(amount AS DOUBLE) AS total_amount
+FROM aged WHERE {_IN}"""
 
 
-@register("user_activity", _BASE + """
-SELECT user_external_id, activity_month, cohort_month, period_num,
-       CAST(total_amount AS DOUBLE) AS total_amount FROM ua""")
+@register("user_activity", _AGED + "SELECT " + _ROWS)
 def q_user_activity(spark, sf_dir):
-    return C.user_activity(cohort_orders(spark, sf_dir)).withColumn(
-        "total_amount", F.col("total_amount").cast("double"))
+    return _as_double(C.user_activity(cohort_orders(spark, sf_dir)), "total_amount")
 
 
-@register("cohort_activity", _BASE + """
-SELECT cohort_month, period_num, active_users,
-       CAST(period_revenue AS DOUBLE) AS period_revenue FROM ca""")
+@register("cohort_activity", _AGED + f"""
+SELECT began AS cohort_month, CAST(age AS INTEGER) AS period_num, count(DISTINCT buyer) AS active_users,
+       CAST(sum(amount) AS DOUBLE) AS period_revenue
+FROM aged WHERE {_IN} GROUP BY began, age""")
 def q_cohort_activity(spark, sf_dir):
-    return C.cohort_activity(C.user_activity(cohort_orders(spark, sf_dir))).withColumn(
-        "period_revenue", F.col("period_revenue").cast("double"))
+    return _as_double(C.cohort_activity(_months(spark, sf_dir)), "period_revenue")
 
 
-@register("cohort_pivot", _BASE + "SELECT * FROM cp")
+@register("cohort_pivot", _AGED + "SELECT began AS cohort_month, count(DISTINCT buyer) AS cohort_size, " + ", ".join(
+    f"{_active(i)} AS period_{i}_active" for i in range(C.PERIODS)) + " FROM aged GROUP BY began")
 def q_cohort_pivot(spark, sf_dir):
-    orders = cohort_orders(spark, sf_dir)
-    fp = C.first_purchase(orders)
-    return C.cohort_pivot(C.cohort_size(fp), C.cohort_activity(C.user_activity(orders, fp)))
+    return C.cohort_pivot(_months(spark, sf_dir))
 
 
-@register("cohort_revenue", _BASE + """
-SELECT cohort_month, CAST(total_cohort_revenue AS DOUBLE) AS total_cohort_revenue FROM cr""")
+@register("cohort_revenue", _AGED + f"""
+SELECT began AS cohort_month, CAST(sum(amount) AS DOUBLE) AS total_cohort_revenue FROM aged WHERE {_IN} GROUP BY began""")
 def q_cohort_revenue(spark, sf_dir):
-    return C.cohort_revenue(cohort_orders(spark, sf_dir)).withColumn(
-        "total_cohort_revenue", F.col("total_cohort_revenue").cast("double"))
+    return _as_double(C.cohort_revenue(_months(spark, sf_dir)), "total_cohort_revenue")
 
 
-@register("user_activity_join", _BASE + """
-SELECT cohort_month, COUNT(*) AS orders_in_window, COUNT(DISTINCT user_external_id) AS users
-FROM ua GROUP BY cohort_month""")
+@register("user_activity_join", _AGED + f"""
+SELECT began AS cohort_month, count(*) AS orders_in_window, count(DISTINCT buyer) AS users
+FROM aged WHERE {_IN} GROUP BY began""")
 def q_user_activity_join(spark, sf_dir):
-    """E1: orders joined to their own per-user aggregate with the range residual."""
-    ua = C.user_activity(cohort_orders(spark, sf_dir))
-    return ua.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("orders_in_window"),
-                                          F.countDistinct(C.USER).alias("users"))
+    """E1, counted: orders of each cohort within its window, from the monthly aggregate."""
+    return C.orders_in_window(_months(spark, sf_dir))
 
 
-@register("cohort_window_filter", _BASE + """
-SELECT user_external_id, order_date, cohort_month, CAST(total_amount AS DOUBLE) AS total_amount
-FROM ua""")
+@register("cohort_window_filter", _AGED + f"""
+SELECT buyer AS user_external_id, ordered AS order_date, began AS cohort_month, CAST(amount AS DOUBLE) AS total_amount
+FROM aged WHERE {_IN}""")
 def q_cohort_window_filter(spark, sf_dir):
-    orders = cohort_orders(spark, sf_dir)
-    joined = orders.join(C.first_purchase(orders), C.USER)
-    return C.in_cohort_window(joined).select(
+    return C.in_cohort_window(C.with_cohort_month(cohort_orders(spark, sf_dir))).select(
         C.USER, "order_date", "cohort_month", F.col("total_amount").cast("double").alias("total_amount"))
 
 
@@ -150,30 +121,20 @@ def q_month_trunc(spark, sf_dir):
     return o.select("o_orderkey", month_trunc("o_orderdate").alias("order_month"))
 
 
-@register("period_num", """
-WITH fp AS (SELECT o_custkey, date_trunc('month', MIN(o_orderdate)) AS cohort_month
-            FROM orders GROUP BY o_custkey)
-SELECT o.o_orderkey,
-       CAST(datediff('month', fp.cohort_month, date_trunc('month', o.o_orderdate)) % 12 AS INTEGER) AS period_num
-FROM orders o JOIN fp ON o.o_custkey = fp.o_custkey""")
+@register("period_num", _AGED + "SELECT o_orderkey, CAST(age % 12 AS INTEGER) AS period_num FROM aged")
 def q_period_num(spark, sf_dir):
     """Month field of AGE(order month, cohort month) for every order (wraps at 12)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    fp = o.groupBy("o_custkey").agg(month_trunc(F.min("o_orderdate")).alias("cohort_month"))
-    return o.join(fp, "o_custkey").select(
-        "o_orderkey", period_num(month_trunc("o_orderdate"), F.col("cohort_month")).alias("period_num"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias(C.USER),
+                                              F.col("o_orderdate").alias("order_date"))
+    return C.with_cohort_month(o).select(
+        "o_orderkey", period_num(month_trunc("order_date"), F.col("cohort_month")).alias("period_num"))
 
 
-@register("retention_pct", _BASE + f"""
-SELECT ca.cohort_month, ca.period_num, ca.active_users, cs.cohort_size,
-       {pct_sql('ca.active_users', 'cs.cohort_size')} AS retention_pct
-FROM ca JOIN cs ON ca.cohort_month = cs.cohort_month""")
+@register("retention_pct", _AGED + f"""
+, size AS (SELECT began, count(DISTINCT buyer) AS n FROM aged GROUP BY began)
+SELECT began AS cohort_month, CAST(age AS INTEGER) AS period_num, count(DISTINCT buyer) AS active_users,
+       any_value(n) AS cohort_size, {pct_sql('count(DISTINCT buyer)', 'any_value(n)')} AS retention_pct
+FROM aged JOIN size USING (began) WHERE {_IN} GROUP BY began, age""")
 def q_retention_pct(spark, sf_dir):
     """I13 on the long form: exact half-up percentages per (cohort, period)."""
-    from ..functions.numeric import pct
-    orders = cohort_orders(spark, sf_dir)
-    fp = C.first_purchase(orders)
-    ca = C.cohort_activity(C.user_activity(orders, fp)).drop("period_revenue")
-    return ca.join(C.cohort_size(fp), "cohort_month").select(
-        "cohort_month", "period_num", "active_users", "cohort_size",
-        pct(F.col("active_users"), F.col("cohort_size")).alias("retention_pct"))
+    return C.retention(_months(spark, sf_dir))

@@ -20,11 +20,6 @@ def pct_sql(part: str, whole: str) -> str:
     return round_div_sql(f"({part}) * 10000", whole, 2)
 
 
-def money_sum_sql(expr: str) -> str:
-    """SUM of a double amount taken as DECIMAL(18,2), as DOUBLE."""
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)"
-
-
 def md5_json_sql(pairs: list[tuple[str, str]]) -> str:
     """md5 of Python-style sorted JSON for ASCII attributes.
 
