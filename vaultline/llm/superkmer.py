@@ -11,6 +11,7 @@ a repeated window is removed.
 * A task passes a packed string on only if it has not met it at an earlier place; later places are known to be
   repeated at once.  So a passage that millions of documents share reaches its bucket once from each task.
 * Of a packed string's places only the first is compared with others; all later ones are repeated as a whole.
+* Packed strings travel by groups of buckets, compressed together: they overlap by a window less a word.
 * What tasks get of the corpus's counts is a bitmap of ``2 ** CELL_BITS`` bits.
 
 Defined cases: null = empty text = no words; a text of fewer than ``WINDOW`` words loses nothing; rows with equal
@@ -23,12 +24,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved, table, text_of
-from .textarrays import BLOCK_BYTES, NOT_SPACE, SEGMENT, U64, _powers, blocks, mix, words_of
+from .common import saved, small_batches, table, text_of
+from .textarrays import NOT_SPACE, SEGMENT, U64, _powers, blocks, mix, words_of
 
 WINDOW = 20
 CELL_BITS = 20
@@ -36,8 +38,11 @@ HEAVY = 1 << 13
 #: Windows in one packed string at most, and packed strings that a task remembers at a time.
 LONGEST = 256
 REMEMBERED = 1 << 18
+#: Bytes of packed strings that a task holds before it passes them on; groups of buckets for each shuffle partition.
+HELD = 24 << 20
+GROUPS = 8
 NO_ID = -(1 << 63)
-PACK = pa.schema([("key", pa.int64()), ("pack", pa.binary()), ("id", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
+PACKED = pa.schema([("grp", pa.int32()), ("known", pa.bool_()), ("blob", pa.binary())])
 RANGES = pa.schema([("id", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
 
@@ -73,9 +78,45 @@ def _least(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (size - width)], x[size - width:]) if size > width else x
 
 
-def _packs(heavy, window: int):
+def _blob(*parts) -> bytes:
+    """Arrays and bytes, each with its length before it, compressed."""
+    raw = [p if isinstance(p, bytes) else np.ascontiguousarray(p).tobytes() for p in parts]
+    return zstandard.compress(b"".join(x for p in raw for x in (len(p).to_bytes(8, "little"), p)), 1)
+
+
+def _unblob(blob: bytes) -> list[bytes]:
+    raw, out, at = zstandard.decompress(blob), [], 0
+    while at < len(raw):
+        n = int.from_bytes(raw[at:at + 8], "little")
+        out.append(raw[at + 8:at + 8 + n])
+        at += 8 + n
+    return out
+
+
+def _passed_on(packs: list[tuple], known: list, groups: int) -> pa.RecordBatch:
+    """A row for each group of buckets with its packed strings, and one with the ranges known to be repeated."""
+    rows = []
+    if packs:
+        key, ids, start, length = (np.array([p[i] for p in packs], t) for i, t in ((0, U64), (2, np.int64), (3, np.int32), (4, np.int32)))
+        group = (key % U64(groups)).astype(np.int32)
+        order = np.lexsort((key, group))
+        edge = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
+        for i, j in zip(edge[:-1], edge[1:]):
+            own = order[i:j]
+            rows.append((int(group[own[0]]), False, _blob(ids[own], start[own], length[own], b"".join([packs[k][1] for k in own]))))
+    if known:
+        ids, a, e = zip(*known)
+        ids = np.array(ids, np.int64)
+        rows.append((int(ids[0] % groups), True, _blob(ids, np.array(a, np.int32), np.array(e, np.int32))))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(PACKED)], schema=PACKED)
+
+
+def _packs(heavy, window: int, groups: int):
     def run(batches):
         met: dict[bytes, tuple[int, int]] = {}
+        out: list[tuple] = []
+        known: list[list[int]] = []
+        held = 0
         for b in blocks(batches):
             n = len(b.start)
             if n < window:
@@ -102,25 +143,25 @@ def _packs(heavy, window: int):
             first = good[at]
             ids = np.asarray(b.rows.column("id"))[b.row[first]]
             offset = first - b.first[b.row[first]]
-            keys = mix(value[at]).view(np.int64)
             lo, hi = place[first].tolist(), (place[first + runs + window - 1] - 1).tolist()
-            out: list[tuple] = []
-            known: list[list[int]] = []
-            for k, i, j, d, a, w in zip(keys.tolist(), lo, hi, ids.tolist(), offset.tolist(), (runs + window - 1).tolist()):
+            for k, i, j, d, a, w in zip(mix(value[at]).tolist(), lo, hi, ids.tolist(), offset.tolist(), (runs + window - 1).tolist()):
                 pack = joined[i:j]
                 name = xxhash.xxh3_128_digest(pack)
                 before = met.get(name)
                 if before is None or (d, a) <= before:
                     met[name] = (d, a)
-                    out.append((k, pack, d, a, a + w))
+                    out.append((k, pack, d, a, j - i))
+                    held += j - i
                 elif known and known[-1][0] == d and known[-1][1] <= a <= known[-1][2]:
                     known[-1][2] = max(known[-1][2], a + w)
                 else:
                     known.append([d, a, a + w])
             if len(met) > REMEMBERED:
                 met.clear()
-            out += [(d, None, d, a, e) for d, a, e in known]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PACK)], schema=PACK)
+            if held > HELD or len(known) > REMEMBERED:
+                yield _passed_on(out, known, groups)
+                out, known, held = [], [], 0
+        yield _passed_on(out, known, groups)
     return run
 
 
@@ -185,29 +226,31 @@ def _later(packs, ids, starts, first, n):
 
 
 def _buckets(window: int):
-    """Rows come sorted by key; a bucket is never split, and small ones are worked on together."""
-    def run(batches):
-        packs, ids, starts, size, last = [], [], [], 0, None
+    """Rows come sorted by group; a group is worked on as a whole."""
+    def ranges(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, RANGES)], schema=RANGES)
 
-        def ranges(rows):
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], RANGES.field(i).type) for i in range(3)], schema=RANGES)
+    def found(packs, ids, starts):
+        return ranges(list(zip(*_repeated(packs, ids, starts, window))) or [[], [], []])
+
+    def run(batches):
+        packs, ids, starts, last = [], [], [], None
         for batch in batches:
-            known = []
-            for k, p, d, a, e in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if p is None:
-                    known.append((d, a, e))
+            for group, known, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                parts = _unblob(blob)
+                if known:
+                    yield ranges([np.frombuffer(p, t) for p, t in zip(parts, (np.int64, np.int32, np.int32))])
                     continue
-                if k != last and size > BLOCK_BYTES:
-                    yield ranges(_repeated(packs, ids, starts, window))
-                    packs, ids, starts, size = [], [], [], 0
-                last = k
-                packs.append(p)
-                ids.append(d)
-                starts.append(a)
-                size += len(p)
-            yield ranges(known)
+                if group != last and packs:
+                    yield found(packs, ids, starts)
+                    packs, ids, starts = [], [], []
+                last = group
+                ids += np.frombuffer(parts[0], np.int64).tolist()
+                starts += np.frombuffer(parts[1], np.int32).tolist()
+                at = np.concatenate([[0], np.cumsum(np.frombuffer(parts[2], np.int32), dtype=np.int64)]).tolist()
+                packs += [parts[3][i:j] for i, j in zip(at[:-1], at[1:])]
         if packs:
-            yield ranges(_repeated(packs, ids, starts, window))
+            yield found(packs, ids, starts)
     return run
 
 
@@ -243,6 +286,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], window: int = WINDOW) -> D
     ``docs`` needs an integer ``doc_id`` and ``text``.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.struct(*carry).alias("_doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                        text_of("text").alias("_t"))
     cells = rows.select("_t").mapInArrow(_cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
@@ -252,9 +296,10 @@ def remove_repeats(docs: DataFrame, carry: list[str], window: int = WINDOW) -> D
     heavy = [r["cell"] for r in cells.where((F.col("cell") >= 0) & (F.col("n") * 2 * HEAVY > n)).select("cell").collect()]
     bitmap = np.zeros(1 << CELL_BITS, bool)
     bitmap[heavy] = True
+    groups = GROUPS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packs = rows.select("id", "_t").mapInArrow(
-        _packs(spark.sparkContext.broadcast(bitmap), window), "key bigint, pack binary, id bigint, a int, b int")
-    ranges = packs.repartition("key").sortWithinPartitions("key").mapInArrow(_buckets(window), "id bigint, a int, b int")
+        _packs(spark.sparkContext.broadcast(bitmap), window, groups), "grp int, known boolean, blob binary")
+    ranges = packs.repartition("grp").sortWithinPartitions("grp").mapInArrow(_buckets(window), "id bigint, a int, b int")
     by_doc = ranges.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     kind = T.StructType([rows.schema["_doc"]]).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept", T.StringType())
     return rows.join(by_doc, "id", "left").select("_doc", "_t", "ranges").mapInArrow(_kept, kind)
