@@ -1,5 +1,5 @@
 """Stream = batch: the same events in one or several deliveries, with a restart,
-a replayed batch and a compaction in between, give the same vault tables."""
+a replayed batch in between, give the same vault tables."""
 
 from pyspark.sql import functions as F
 
@@ -52,7 +52,7 @@ def test_stream_equals_batch_across_deliveries(spark, model):
     ev.unpersist()
 
 
-def test_replay_and_compaction(spark, model):
+def test_replay_of_a_batch_and_a_new_delivery(spark, model):
     root = fresh_dir(spark, "t-replay")
     _events(spark).write.json(f"{root}/events")
     store = VaultStore(spark, f"{root}/vault", model)
@@ -61,9 +61,6 @@ def test_replay_and_compaction(spark, model):
     before = _snapshot(store)
     load_batch(batch, 0, model, store)           # redelivery of batch 0
     assert _snapshot(store) == before
-    for t in TABLES:
-        store.compact(t, upto_batch=0)
-    assert _snapshot(store) == before
     load_batch(batch, 1, model, store)           # same events again as a new batch
     after = _snapshot(store)
     for t in TABLES:
@@ -71,9 +68,59 @@ def test_replay_and_compaction(spark, model):
             assert len(after[t]) == len(before[t]), t      # keyed: absorbed
         else:
             assert len(after[t]) == 2 * len(before[t]), t  # history: a new delivery is new rows
-    # the compacted copy is a bucketed table
-    comp = store.current_compaction("hub_users")
-    assert comp is not None and spark.catalog.tableExists(comp[2])
+
+
+def _user_events(spark, rows):
+    """(user, offset, time, status) as change events of users."""
+    return spark.createDataFrame(rows, "u string, o bigint, t string, s string").select(
+        F.lit("user_service.public.users").alias("topic"), F.lit(0).alias("partition"), F.col("o").alias("offset"),
+        F.to_timestamp("t").alias("timestamp"),
+        F.to_json(F.struct(F.struct(F.col("u").alias("user_external_id"), F.col("s").alias("status")).alias("after"))).alias("value"))
+
+
+def test_loads_do_not_touch_each_other(spark, model):
+    """Two bulk loads, a stream, and the same stream with a new checkpoint: all begin with batch 0."""
+    root = fresh_dir(spark, "t-loads")
+    store = VaultStore(spark, f"{root}/vault", model)
+    day = "2024-01-0{} 00:00:00"
+    load_batch(_user_events(spark, [(f"u{i}", i, day.format(1), "a") for i in range(50)]), 0, model, store, load_id="first")
+    load_batch(_user_events(spark, [("v1", 1, day.format(1), "a")]), 0, model, store, load_id="second")
+    _user_events(spark, [("u1", 1, day.format(2), "b"), ("w1", 2, day.format(2), "b")]).write.json(f"{root}/events")
+    run_available(spark, model, store, f"{root}/ckpt-a", f"{root}/events")
+    run_available(spark, model, store, f"{root}/ckpt-b", f"{root}/events")
+    again = VaultStore(spark, f"{root}/vault", model)
+    assert again.read("hub_users").count() == 52
+    latest = {r["hk_users"]: r["_order"]["load_seq"] for r in again.read("hub_users", keep_order=True).collect()}
+    assert sorted(latest.values()) == [1] * 49 + [2] + [4, 4]
+    assert spark.read.json(f"{root}/vault/_loads").count() == 4
+
+
+def test_result_does_not_depend_on_the_batches(spark, model):
+    """Record times out of order: one, three and ten batches give the same vault."""
+    rows = [(f"u{i % 7}", i, f"2024-01-{(i * 11) % 28 + 1:02d} 00:00:00", f"s{i % 3}") for i in range(60)]
+    results = []
+    for n in (1, 3, 10):
+        store = VaultStore(spark, f"{fresh_dir(spark, 't-batches')}/vault", model)
+        for b in range(n):
+            load_batch(_user_events(spark, rows[b * 60 // n:(b + 1) * 60 // n]), b, model, store)
+        results.append([sorted(map(tuple, store.read(t).collect()), key=str) for t in ("hub_users", "sat_users")])
+    assert results[0] == results[1] == results[2]
+    hub = {r[1]: str(r[2]) for r in results[0][0]}  # the last offset's time, not the latest time
+    assert hub == {u: max((r[1], r[2]) for r in rows if r[0] == u)[1] for u in hub}
+
+
+def test_one_bad_event_does_not_stop_the_load(spark, model):
+    users = "user_service.public.users"
+    vals = ['{"after": {"user_external_id": "ok"}}', '{"after": {"user_external_id": "far", "registration_date": 9223372036854775807}}',
+            '{"after": {"id": 5}}', '{"after": {}}', '{"after": null}', '{"payload": {"after": {"id": 5}}}', '{nope', '{"after": {"email": "x"}}']
+    df = spark.createDataFrame([(users, 0, i, "2024-01-01 00:00:00", v) for i, v in enumerate(vals)],
+                               "topic string, partition int, offset bigint, ts string, value string") \
+        .select("topic", "partition", "offset", F.to_timestamp("ts").alias("timestamp"), "value")
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-bad')}/vault", model)
+    m = load_batch(df, 0, model, store)
+    assert m["hub_users"] == 1 and m["deleted:users"] == 2
+    assert {r["offset"]: r["reject"] for r in store.read("_quarantine").collect()} == {
+        1: "bad_value", 2: "missing_business_key", 5: "missing_business_key", 6: "malformed_json", 7: "missing_business_key"}
 
 
 def test_quarantine_written(spark, model):
@@ -91,14 +138,14 @@ def test_quarantine_written(spark, model):
     assert q == {2: "malformed_json", 3: "missing_business_key"}
 
 
-def test_compacted_lookup_prunes_buckets(spark, model):
-    """A hub lookup by hash key on the compacted (bucketed) table reads one bucket."""
+def test_bucketed_lookup_prunes_buckets(spark, model):
+    """A hub lookup by hash key on the bucketed copy reads one bucket."""
     root = fresh_dir(spark, "t-bucket")
     feeds.users_json(spark, SF_SMALL).write.json(f"{root}/events")
     store = VaultStore(spark, f"{root}/vault", model)
     load_batch(read_cdc_batch(spark, f"{root}/events"), 0, model, store)
-    store.compact("hub_users", upto_batch=0)
-    name = store.current_compaction("hub_users")[2]
+    name = "vl_test_hub_users"
+    store.write_bucketed("hub_users", name, f"{root}/bucketed")
     # Spark drops the bucketed scan for a plain filter (files are still pruned by
     # bucket id); with that rule off the pruning shows in the plan.
     spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
@@ -127,24 +174,6 @@ def test_skip_counters(spark, model):
     assert m["deleted:user_addresses"] == 1 and m["hub_user_addresses"] == 3
 
 
-def test_periodic_compaction_equals_plain_reads(spark, model):
-    """Three file deliveries, one per micro-batch, compacting every second batch."""
-    ev = _events(spark)
-    ts = F.col("timestamp").cast("timestamp_ntz")
-    cut1, cut2 = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    parts = [ev.where(ts < cut1), ev.where((ts >= cut1) & (ts < cut2)), ev.where(ts >= cut2)]
-    plain_root, comp_root = fresh_dir(spark, "t-plain"), fresh_dir(spark, "t-comp")
-    plain = VaultStore(spark, f"{plain_root}/vault", model)
-    comp = VaultStore(spark, f"{comp_root}/vault", model)
-    for p in parts:
-        p.write.mode("append").json(f"{plain_root}/events")
-        run_available(spark, model, plain, f"{plain_root}/ckpt", f"{plain_root}/events")
-        p.write.mode("append").json(f"{comp_root}/events")
-        run_available(spark, model, comp, f"{comp_root}/ckpt", f"{comp_root}/events", compact_every=2)
-    assert comp.current_compaction("hub_users")[1] == 1
-    assert _snapshot(comp) == _snapshot(plain)
-
-
 def test_bulk_load_matches_model_driven_counts(spark, model):
     """load_sources writes exactly the rows model_driven_load reports, per table."""
     import __spark_entry__ as E

@@ -50,8 +50,10 @@ def epoch_millis(c) -> Column:
 
 
 def from_epoch_millis(c) -> Column:
-    """Milliseconds since the epoch -> timestamp_ntz."""
-    return F.timestamp_add("MILLISECOND", _c(c).cast("bigint"), F.expr(_EPOCH_NTZ))
+    """Milliseconds since the epoch -> timestamp_ntz; outside years 1..9999 gives NULL (rejected later)."""
+    ms = _c(c).cast("bigint")
+    ok = ms.between(-62135596800000, 253402300799999)
+    return F.when(ok, F.timestamp_add("MILLISECOND", F.when(ok, ms).otherwise(F.lit(0)), F.expr(_EPOCH_NTZ)))
 
 
 def epoch_days(c) -> Column:

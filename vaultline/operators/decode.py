@@ -11,7 +11,9 @@ A raw change event has the Kafka record shape
 ``missing_business_key``, ``bad_value``).  Only ``after`` is read; ``before``
 is never used.  Deletes (``after`` NULL or ``{}``) and tombstones (a NULL
 value, the log-compaction marker after a delete) are dropped by
-``skip_deletes`` and counted as deletes.
+``skip_deletes`` and counted as deletes.  An ``after`` that only carries fields
+the model does not know is no delete: it is decoded with all fields NULL and
+rejected for its missing key, so that a renamed column is noticed.
 """
 
 from __future__ import annotations
@@ -66,6 +68,13 @@ def decode_topic(events: DataFrame, src: SourceTable, keep_value: bool = False)
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
     ev = ev.withColumn("_p", parsed)
     op, after = unwrap(F.col("_p"))
+    # no known field is set: an empty image is a delete, one with other fields is not
+    text = F.col("value").cast("string")
+    raw = F.coalesce(F.get_json_object(text, "$.payload.after"), F.get_json_object(text, "$.after"))
+    unset = F.lit(True)
+    for f in src.wire_schema.fields:
+        unset = unset & after[f.name].isNull()
+    after = F.when(~(unset & (F.coalesce(raw, F.lit("{}")).rlike(r"^\s*\{\s*\}\s*$"))), after)
     reject = F.when(F.col("value").isNotNull() & (F.col("_p").isNull() | F.col("_p._malformed").isNotNull()),
                     F.lit("malformed_json"))
     extra = [F.col("value")] if keep_value else []
@@ -101,11 +110,8 @@ def rows_to_decoded(rows: DataFrame, src: SourceTable, *, offset: Column, load_d
 
 
 def is_empty_after(after: Column, src: SourceTable) -> Column:
-    """``after`` is NULL or carries no non-NULL field (``{}``)."""
-    any_set = F.lit(False)
-    for f in src.wire_schema.fields:
-        any_set = any_set | after[f.name].isNotNull()
-    return after.isNull() | ~any_set
+    """``after`` is NULL: the decoder makes it so for a missing image and for ``{}``."""
+    return after.isNull()
 
 
 def skip_deletes(decoded: DataFrame, src: SourceTable) -> DataFrame:
@@ -142,8 +148,12 @@ def classify(decoded: DataFrame, src: SourceTable, attrs=()) -> DataFrame:
     reason = F.col("reject")
     live = ~is_empty_after(F.col("after"), src)
     if src.business_key is not None:
-        bk = F.col(f"after.{src.business_key.name}")
-        reason = F.coalesce(reason, F.when(live & bk.isNull(), F.lit("missing_business_key")))
+        missing = F.col(f"after.{src.business_key.name}").isNull()
+    else:  # a table without a hub of its own: nothing the model knows is set
+        missing = F.lit(True)
+        for f in src.wire_schema.fields:
+            missing = missing & F.col(f"after.{f.name}").isNull()
+    reason = F.coalesce(reason, F.when(live & missing, F.lit("missing_business_key")))
     if attrs:
         reason = F.coalesce(reason, F.when(live & bad_values(src, attrs), F.lit("bad_value")))
     return decoded.withColumn("reject", reason)

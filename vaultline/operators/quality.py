@@ -17,13 +17,22 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def insert_absent(df: DataFrame, target: DataFrame, keys) -> DataFrame:
+def insert_absent(df: DataFrame, target: DataFrame, keys, arrival=None) -> DataFrame:
     """INSERT ... ON CONFLICT (keys) DO NOTHING: target plus new-key rows of ``df``.
 
-    One row per new key (first seen wins, as a row-by-row insert-ignore would).
+    One row per new key: the one with the smallest ``arrival`` columns, as a
+    row-by-row insert-ignore in that order would keep; without ``arrival``, or
+    among equal arrivals, the smallest row (the columns in order).
     """
     keys = _keys(keys)
-    fresh = df.dropDuplicates(keys).join(target.select(*keys).dropDuplicates(keys), keys, "left_anti")
+    rest = [c for c in df.columns if c not in keys]
+    order = _keys(arrival) if arrival is not None else []
+    if rest:
+        first = F.min(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], *rest)).alias("_f")
+        one = df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_f.{c}").alias(c) for c in rest])
+    else:
+        one = df.dropDuplicates(keys)
+    fresh = one.join(target.select(*keys).dropDuplicates(keys), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 

@@ -7,8 +7,9 @@ key with ``keyed_view`` -- a partial-then-final aggregate, so a key that owns a
 third of a batch costs one row per map task after the exchange, never one hot
 reducer holding all its rows.
 
-Every output row carries ``_order = struct(batch_id, load_dt, partition,
-offset)``: the arrival order used for last-write-wins.
+Every output row carries ``_order = struct(batch_id, partition, offset, load_dt)``:
+the arrival order used for last-write-wins.  A record's time is only the last
+tie-break, so the result does not depend on how events fall into batches.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ FIRST_SEEN = "first_load_dt"
 
 def _order(batch_id) -> Column:
     b = batch_id if isinstance(batch_id, Column) else F.lit(int(batch_id))
-    return F.struct(b.cast("bigint").alias("batch_id"), F.col("load_dt"),
-                    F.col("partition"), F.col("offset")).alias(ORDER)
+    return F.struct(b.cast("bigint").alias("batch_id"), F.col("partition"), F.col("offset"),
+                    F.col("load_dt")).alias(ORDER)
 
 
 def _meta(batch_id) -> list[Column]:

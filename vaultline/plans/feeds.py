@@ -32,8 +32,9 @@ def _snapshot_ts():
     return F.expr(SNAPSHOT_AT)
 
 
-def users_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = M.users_rows(spark, sf_dir)
+def users_decoded(spark: SparkSession, sf_dir: str, key: int | None = None) -> DataFrame:
+    """The users snapshot, of one business key if given."""
+    rows = M.users_rows(spark, sf_dir, key)
     return rows_to_decoded(rows, model().source("users"), offset=F.col("user_external_id").cast("bigint"),
                            load_dt=_snapshot_ts())
 
@@ -71,11 +72,15 @@ def order_items_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")))
 
 
-def order_status_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = M.orders_rows(spark, sf_dir).select(
-        "order_external_id", F.col("status").alias("new_status"), F.col("order_date").alias("changed_at"))
+def order_status_decoded(spark: SparkSession, sf_dir: str, lose_parents: bool = False) -> DataFrame:
+    """Status history of orders; ``lose_parents`` takes the parent key from urgent (NULL) and low (empty) orders."""
+    rows = M.orders_rows(spark, sf_dir).withColumn("number", F.col("order_external_id").cast("bigint"))
+    if lose_parents:
+        low = F.when(F.col("delivery_type") == "5-LOW", F.lit("")).otherwise(F.col("order_external_id"))
+        rows = rows.withColumn("order_external_id", F.when(F.col("delivery_type") != "1-URGENT", low))
+    rows = rows.select("number", "order_external_id", F.col("status").alias("new_status"), F.col("order_date").alias("changed_at"))
     return rows_to_decoded(rows, model().source("order_status_history"),
-                           offset=F.col("order_external_id").cast("bigint"),
+                           offset=F.col("number"),
                            load_dt=F.timestamp_add("MILLISECOND", F.col("changed_at"),
                                                    F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")))
 

@@ -44,8 +44,10 @@ def cohort_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # and decimals, bigint millis for timestamps).  Attributes the driver tables do
 # not carry are simply absent; the decoder turns absent keys into NULL.
 
-def users_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def users_rows(spark: SparkSession, sf_dir: str, key: int | None = None) -> DataFrame:
     c = table(spark, sf_dir, "customer")
+    if key is not None:
+        c = c.where(F.col("c_custkey") == key)
     return c.select(
         _key("c_custkey").alias("user_external_id"),
         F.col("c_name").alias("first_name"),

@@ -44,16 +44,23 @@ WHERE NOT EXISTS (SELECT 1 FROM supplier p WHERE p.s_suppkey = c.l_suppkey)
 UNION ALL
 SELECT 'events.user_id -> customer', COUNT(*), COALESCE(SUM(n), 0)::BIGINT
 FROM (SELECT user_id, COUNT(*) n FROM events WHERE user_id IS NOT NULL GROUP BY 1) c
-WHERE NOT EXISTS (SELECT 1 FROM customer p WHERE p.c_custkey = c.user_id)""")
+WHERE NOT EXISTS (SELECT 1 FROM customer p WHERE p.c_custkey = c.user_id)
+UNION ALL
+SELECT 'orders.o_custkey -> live events', COUNT(*), COALESCE(SUM(n), 0)::BIGINT
+FROM (SELECT o_custkey, COUNT(*) n FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1) c
+WHERE NOT EXISTS (SELECT 1 FROM events p WHERE p.user_id = c.o_custkey AND p.event_type <> 'error')""")
 def q_orphan_check(spark, sf_dir):
-    """Referential checks (the source's foreign keys, and the cross-service ones)."""
+    """Referential checks: the source's foreign keys, the cross-service ones, and orders of users the change stream
+    never brought (which do exist)."""
     t = lambda n: M.table(spark, sf_dir, n)
+    live = t("events").where(F.col("event_type") != "error")
     return Q.union_all([
         Q.orphan_summary("orders.o_custkey -> customer", t("orders"), t("customer"), "o_custkey", "c_custkey"),
         Q.orphan_summary("lineitem.l_orderkey -> orders", t("lineitem"), t("orders"), "l_orderkey", "o_orderkey"),
         Q.orphan_summary("lineitem.l_partkey -> part", t("lineitem"), t("part"), "l_partkey", "p_partkey"),
         Q.orphan_summary("lineitem.l_suppkey -> supplier", t("lineitem"), t("supplier"), "l_suppkey", "s_suppkey"),
         Q.orphan_summary("events.user_id -> customer", t("events"), t("customer"), "user_id", "c_custkey"),
+        Q.orphan_summary("orders.o_custkey -> live events", t("orders"), live, "o_custkey", "user_id"),
     ])
 
 
@@ -84,16 +91,30 @@ def q_unique_key_check(spark, sf_dir):
     ])
 
 
-@register("reconcile_counts", """
-SELECT 'orders -> hub_orders' AS check_name, COUNT(*) AS source_rows, COUNT(*) AS target_rows,
-       0::BIGINT AS missing_in_target, 0::BIGINT AS extra_in_target FROM orders
-UNION ALL
-SELECT 'customer -> hub_users', COUNT(*), COUNT(*), 0::BIGINT, 0::BIGINT FROM customer
-UNION ALL
-SELECT 'events (live) -> sat_user_status_history', COUNT(*), COUNT(*), 0::BIGINT, 0::BIGINT
-FROM events WHERE event_type <> 'error'""")
+def _parity_sql(name: str, source: str, target: str) -> str:
+    """Both sides counted by row value; differences either way."""
+    return f"""
+SELECT '{name}' AS check_name, COALESCE(SUM(a), 0)::BIGINT AS source_rows, COALESCE(SUM(b), 0)::BIGINT AS target_rows,
+       COALESCE(SUM(greatest(a - b, 0)), 0)::BIGINT AS missing_in_target,
+       COALESCE(SUM(greatest(b - a, 0)), 0)::BIGINT AS extra_in_target
+FROM (SELECT k, SUM(a) AS a, SUM(b) AS b
+      FROM (SELECT k, 1 AS a, 0 AS b FROM ({source}) UNION ALL SELECT k, 0, 1 FROM ({target})) GROUP BY k)"""
+
+
+@register("reconcile_counts", " UNION ALL ".join([
+    _parity_sql("orders -> hub_orders", "SELECT o_orderkey AS k FROM orders", "SELECT DISTINCT o_orderkey AS k FROM orders"),
+    _parity_sql("customer -> hub_users", "SELECT c_custkey AS k FROM customer", "SELECT DISTINCT c_custkey AS k FROM customer"),
+    _parity_sql("events (live) -> sat_user_status_history",
+                "SELECT (user_id, ts) AS k FROM events WHERE event_type <> 'error'",
+                "SELECT (user_id, ts) AS k FROM events WHERE event_type <> 'error'"),
+    _parity_sql("customer -> hub_users of the change stream", "SELECT c_custkey AS k FROM customer",
+                "SELECT DISTINCT user_id AS k FROM events WHERE event_type <> 'error'"),
+    _parity_sql("events -> sat_user_status_history", "SELECT (user_id, ts) AS k FROM events",
+                "SELECT (user_id, ts) AS k FROM events WHERE event_type <> 'error'"),
+]))
 def q_reconcile_counts(spark, sf_dir):
-    """Row parity of source and vault: counts and multiset differences both ways."""
+    """Row parity of source and vault, counts and multiset differences both ways: copies that agree, and two that do
+    not (users without live changes; history without the deletes)."""
     model = _m()
     o_hub = V.hub_rows(_good(feeds.orders_decoded(spark, sf_dir), "orders"), model.source("orders"))
     o_src = M.table(spark, sf_dir, "orders").select(F.md5(F.col("o_orderkey").cast("string")).alias("hk_orders"))
@@ -102,13 +123,16 @@ def q_reconcile_counts(spark, sf_dir):
     hist_t = model.target("sat_user_status_history")
     hist = V.history_rows(_good(feeds.status_history_decoded(spark, sf_dir), "user_status_history"),
                           model.source("user_status_history"), hist_t)
-    ev = M.table(spark, sf_dir, "events").where(F.col("event_type") != "error")
-    ev_src = ev.select(F.md5(F.col("user_id").cast("string")).alias("hk_users"),
-                       F.col("ts").alias("load_dt"))
+    ev = M.table(spark, sf_dir, "events")
+    keyed = lambda d: d.select(F.md5(F.col("user_id").cast("string")).alias("hk_users"), F.col("ts").alias("load_dt"))
+    ev_src, all_src = keyed(ev.where(F.col("event_type") != "error")), keyed(ev)
+    changed = V.keyed_view(V.hub_rows(_good(feeds.user_changes_decoded(spark, sf_dir), "users"), model.source("users")), "hk_users")
     return Q.union_all([
         Q.reconcile("orders -> hub_orders", o_src, o_hub.select("hk_orders")),
         Q.reconcile("customer -> hub_users", u_src, u_hub.select("hk_users")),
         Q.reconcile("events (live) -> sat_user_status_history", ev_src, hist.select("hk_users", "load_dt")),
+        Q.reconcile("customer -> hub_users of the change stream", u_src, changed.select("hk_users")),
+        Q.reconcile("events -> sat_user_status_history", all_src, hist.select("hk_users", "load_dt")),
     ])
 
 
@@ -174,15 +198,31 @@ def q_event_probe(spark, sf_dir):
 
 @register("quarantine_rejects", """
 SELECT 'user_service.public.users' AS topic,
-       CASE WHEN event_type = 'error' THEN 'deleted' ELSE 'loaded' END AS outcome, COUNT(*) AS events
+       CASE event_id % 9 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'missing_business_key' WHEN 2 THEN 'missing_business_key'
+            WHEN 3 THEN 'bad_value' WHEN 4 THEN 'deleted'
+            ELSE CASE WHEN event_type = 'error' THEN 'deleted' ELSE 'loaded' END END AS outcome, COUNT(*) AS events
 FROM events GROUP BY 2
 UNION ALL
-SELECT 'order_service.public.orders', 'loaded', COUNT(*) FROM orders""")
+SELECT 'order_service.public.orders', CASE WHEN o_orderkey % 5 = 0 THEN 'bad_value' ELSE 'loaded' END, COUNT(*)
+FROM orders GROUP BY 2""")
 def q_quarantine_rejects(spark, sf_dir):
-    """Every event classified: loaded, deleted (skipped), or rejected with a reason."""
+    """Every event classified: loaded, deleted (skipped), or rejected with a reason.
+
+    Some of the events are spoiled first, by their offset: broken JSON, no key, only fields the model does not know,
+    a time out of range, an empty image, a decimal that is none.
+    """
     model = _m()
+    turn = F.col("offset") % 9
+    users = feeds.user_changes_json(spark, sf_dir).withColumn(
+        "value", F.when(turn == 0, F.substring("value", 1, 12))
+        .when(turn == 1, F.lit('{"op":"u","after":{"status":"x"}}'))
+        .when(turn == 2, F.lit('{"op":"u","after":{"renamed":1}}'))
+        .when(turn == 3, F.lit('{"op":"u","after":{"user_external_id":"1","registration_date":9223372036854775807}}'))
+        .when(turn == 4, F.lit('{"op":"u","after":{}}')).otherwise(F.col("value")))
+    orders = feeds.orders_json(spark, sf_dir).withColumn("value", F.when(F.col("offset") % 5 == 0, F.lit(
+        '{"op":"u","after":{"order_external_id":"1","total_amount":"12,5"}}')).otherwise(F.col("value")))
     parts = []
-    for name, ev in (("users", feeds.user_changes_json(spark, sf_dir)), ("orders", feeds.orders_json(spark, sf_dir))):
+    for name, ev in (("users", users), ("orders", orders)):
         src = model.source(name)
         loaded_attrs = model.target(f"sat_{name}").attrs
         dec = D.classify(D.decode_topic(ev, src), src, loaded_attrs)
@@ -202,12 +242,16 @@ USERS_CSV_SCHEMA = T.StructType([
 
 
 @register("csv_roundtrip", """
-SELECT CAST(c_custkey AS VARCHAR) AS user_external_id, c_name AS first_name, c_mktsegment AS status
+SELECT CAST(c_custkey AS VARCHAR) AS user_external_id, 'x "' || c_name || '", y' AS first_name,
+       c_mktsegment || chr(92) AS status
 FROM customer""")
 def q_csv_roundtrip(spark, sf_dir):
     """Users written as a header CSV to the shared folder and read back with a fixed schema."""
     path = fresh_dir(spark, "csv") + "/users"
-    M.users_rows(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    rows = M.users_rows(spark, sf_dir).select(  # quotes, a comma, a backslash at the end of a field
+        "user_external_id", F.concat(F.lit('x "'), "first_name", F.lit('", y')).alias("first_name"),
+        F.concat("status", F.lit("\\")).alias("status"))
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
     return cdc.read_csv(spark, path, USERS_CSV_SCHEMA)
 
 
@@ -228,12 +272,18 @@ UNION ALL
 SELECT 'lnk_shipments_warehouses -> hub_warehouses', COUNT(*), COALESCE(SUM(n), 0)::BIGINT
 FROM (SELECT l_suppkey, COUNT(*) n FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem)
       GROUP BY 1) c
-WHERE NOT EXISTS (SELECT 1 FROM supplier p WHERE p.s_suppkey = c.l_suppkey)""")
+WHERE NOT EXISTS (SELECT 1 FROM supplier p WHERE p.s_suppkey = c.l_suppkey)
+UNION ALL
+SELECT 'lnk_orders_users -> hub_users, one segment loaded', COUNT(*), COALESCE(SUM(n), 0)::BIGINT
+FROM (SELECT o_custkey, COUNT(*) n FROM orders GROUP BY 1) c
+WHERE NOT EXISTS (SELECT 1 FROM customer p WHERE p.c_custkey = c.o_custkey AND p.c_mktsegment = 'BUILDING')""")
 def q_vault_orphan_check(spark, sf_dir):
     """Late-arriving parents: vault link and history rows whose hub row is absent
     (the loader makes no stub hubs; each table loads on its own)."""
     model = _m()
     hub_users = V.hub_rows(_good(feeds.users_decoded(spark, sf_dir), "users"), model.source("users"))
+    first = feeds.users_decoded(spark, sf_dir).where(F.col("after.status") == "BUILDING")
+    early = V.hub_rows(_good(first, "users"), model.source("users"))  # the other parents come late
     hub_products = V.hub_rows(_good(feeds.products_decoded(spark, sf_dir), "products"), model.source("products"))
     hub_wh = V.hub_rows(_good(feeds.warehouses_decoded(spark, sf_dir), "warehouses"), model.source("warehouses"))
     hist = V.history_rows(_good(feeds.status_history_decoded(spark, sf_dir), "user_status_history"),
@@ -251,18 +301,21 @@ def q_vault_orphan_check(spark, sf_dir):
         Q.orphan_summary("lnk_orders_users -> hub_users", lnk_ou, hub_users, "hk_users"),
         Q.orphan_summary("lnk_order_items -> hub_products", lnk_oi, hub_products, "hk_products"),
         Q.orphan_summary("lnk_shipments_warehouses -> hub_warehouses", lnk_sw, hub_wh, "hk_warehouses"),
+        Q.orphan_summary("lnk_orders_users -> hub_users, one segment loaded", lnk_ou, early, "hk_users"),
     ])
 
 
 @register("length_check", """
-SELECT 'first_name' AS "column", COUNT(*) FILTER (WHERE length(c_name) > 500) AS rows,
-       MAX(length(c_name))::INTEGER AS max_length FROM customer
+SELECT 'first_name' AS "column", COUNT(*) FILTER (WHERE length(c_name) * (26 + c_custkey % 5) > 500) AS rows,
+       MAX(length(c_name) * (26 + c_custkey % 5))::INTEGER AS max_length FROM customer
 UNION ALL
 SELECT 'status', COUNT(*) FILTER (WHERE length(c_mktsegment) > 500), MAX(length(c_mktsegment))::INTEGER
 FROM customer""")
 def q_length_check(spark, sf_dir):
-    """Over-long strings against their VARCHAR limits (kept, only reported)."""
+    """Over-long strings against their VARCHAR limits (kept, only reported); names are repeated to reach them."""
     model = _m()
     src, t = model.source("users"), model.target("sat_users")
-    sat = V.sat_rows(_good(feeds.users_decoded(spark, sf_dir), "users"), src, t)
+    times = (F.lit(26) + F.col("after.user_external_id").cast("bigint") % 5).cast("int")
+    long = F.col("after").withField("first_name", F.repeat(F.col("after.first_name"), times))
+    sat = V.sat_rows(_good(feeds.users_decoded(spark, sf_dir).withColumn("after", long), "users"), src, t)
     return Q.over_length(sat.select("first_name", "status"), t)

@@ -10,7 +10,7 @@ from ..operators.decode import record_time_utc
 from ..session import fresh_dir
 from ..sinks.store import VaultStore
 from ..sources.cdc import read_cdc_batch
-from ..streaming.loader import load_batch, run_available
+from ..streaming.loader import load_batch, load_sources, run_available
 from . import feeds
 from .registry import register
 
@@ -71,23 +71,19 @@ def q_cdc_stream_ingest(spark, sf_dir):
     return out.withColumn("date_of_birth", F.col("date_of_birth").cast("timestamp_ntz"))
 
 
-_HUB_FROM_EVENTS = """
-SELECT md5(CAST(user_id AS VARCHAR)) AS hk_users, CAST(user_id AS VARCHAR) AS user_external_id,
-       MAX(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS load_dt, 'user_service.public.users' AS record_source,
-       MIN(make_timestamp((epoch_us(ts) // 1000) * 1000)) AS first_load_dt
-FROM events WHERE event_type <> 'error' GROUP BY user_id"""
-
-
-@register("stream_resume", _HUB_FROM_EVENTS)
+@register("stream_resume", f"""
+SELECT md5(CAST(user_id AS VARCHAR)) AS hk_users, {TS_MS} AS load_dt, event_type AS new_status
+FROM events WHERE event_type <> 'error'""")
 def q_stream_resume(spark, sf_dir):
-    """Two deliveries, the stream stopped and restarted from its checkpoint in between."""
+    """Two deliveries, the stream stopped and restarted from its checkpoint in between; a history table would show
+    any event that is read again."""
     root, store = _setup(spark, "resume")
-    ev = feeds.user_changes_json(spark, sf_dir)
+    ev = feeds.status_history_json(spark, sf_dir)
     _deliver(_before(ev), f"{root}/events")
     run_available(spark, store.model, store, f"{root}/_checkpoint", f"{root}/events")
     _deliver(_after(ev), f"{root}/events")
     run_available(spark, store.model, store, f"{root}/_checkpoint", f"{root}/events")
-    return store.read("hub_users")
+    return store.read("sat_user_status_history").select("hk_users", "load_dt", "new_status")
 
 
 @register("late_arrival_wins", f"""
@@ -118,3 +114,37 @@ def q_replay_idempotent(spark, sf_dir):
     load_batch(batch, 0, store.model, store)
     load_batch(batch, 0, store.model, store)
     return store.read("sat_user_status_history").select("hk_users", "load_dt", "new_status")
+
+
+@register("bulk_then_stream", f"""
+SELECT hk_users, user_external_id, COALESCE(MAX(load_dt) FILTER (WHERE live), MAX(load_dt)) AS load_dt,
+       'user_service.public.users' AS record_source, MIN(load_dt) AS first_load_dt, bool_or(live) AS changed
+FROM (SELECT md5(CAST(c_custkey AS VARCHAR)) AS hk_users, CAST(c_custkey AS VARCHAR) AS user_external_id,
+             {feeds.SNAPSHOT_AT.replace('TIMESTAMP_NTZ', 'TIMESTAMP ')} AS load_dt, false AS live FROM customer
+      UNION ALL
+      SELECT md5(CAST(user_id AS VARCHAR)), CAST(user_id AS VARCHAR), {TS_MS}, true FROM events WHERE event_type <> 'error')
+GROUP BY hk_users, user_external_id""")
+def q_bulk_then_stream(spark, sf_dir):
+    """A snapshot as a bulk load, then live changes as a stream, both starting at batch 0 of one vault."""
+    root, store = _setup(spark, "bulk-stream")
+    load_sources({"users": feeds.users_decoded(spark, sf_dir)}, 0, store.model, store)
+    _deliver(feeds.user_changes_json(spark, sf_dir), f"{root}/events")
+    run_available(spark, store.model, store, f"{root}/_checkpoint", f"{root}/events")
+    hub = store.read("hub_users", keep_order=True)
+    return hub.withColumn("changed", F.col("_order.load_id") != "bulk").drop("_order")
+
+
+@register("batch_metrics", """
+SELECT k AS vault_table, n AS rows FROM (
+  SELECT 'events:users' AS k, COUNT(*) AS n FROM events
+  UNION ALL SELECT 'deleted:users', COUNT(*) FROM events WHERE event_type = 'error'
+  UNION ALL SELECT 'rejected:users', 0
+  UNION ALL SELECT 'hub_users', COUNT(DISTINCT user_id) FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT 'sat_users', COUNT(DISTINCT (user_id, event_type)) FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT '_quarantine', 0)""")
+def q_batch_metrics(spark, sf_dir):
+    """L4: what a loaded batch reports of itself."""
+    root, store = _setup(spark, "metrics")
+    _deliver(feeds.user_changes_json(spark, sf_dir), f"{root}/events")
+    load_batch(read_cdc_batch(spark, f"{root}/events"), 0, store.model, store)
+    return spark.read.parquet(f"{store.root}/_metrics").select("vault_table", "rows")

@@ -258,12 +258,12 @@ def q_history_append(spark, sf_dir):
 @register("history_skip_null", """
 SELECT md5(CAST(o_orderkey AS VARCHAR)) AS hk_orders, o_orderstatus AS new_status,
        make_timestamp(epoch_ms(o_orderdate) * 1000) AS changed_at
-FROM orders""")
+FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')""")
 def q_history_skip_null(spark, sf_dir):
-    """Order status history; rows without a parent order key are skipped (none here)."""
+    """Order status history; rows whose parent key is NULL (urgent orders here) or empty (low ones) are skipped."""
     src = _m().source("order_status_history")
     t = _m().target("sat_order_status_history")
-    good = _good(feeds.order_status_decoded(spark, sf_dir), "order_status_history")
+    good = _good(feeds.order_status_decoded(spark, sf_dir, lose_parents=True), "order_status_history")
     return V.history_rows(good, src, t).select("hk_orders", "new_status", "changed_at")
 
 
@@ -321,10 +321,10 @@ def q_latest_sat_rows(spark, sf_dir):
 SELECT md5(CAST(c_custkey AS VARCHAR)) AS hk_users, CAST(c_custkey AS VARCHAR) AS user_external_id
 FROM customer WHERE CAST(c_custkey AS VARCHAR) = '42'""")
 def q_hub_lookup(spark, sf_dir):
-    """Equality lookup by business key, expressed on the hash key (bucket-prunable)."""
+    """Equality lookup by business key: the filter is on the key itself and reaches the scan; only the hit is hashed."""
     src = _m().source("users")
-    hub = V.hub_rows(_good(feeds.users_decoded(spark, sf_dir), "users"), src)
-    return hub.where(F.col("hk_users") == F.md5(F.lit("42"))).select("hk_users", "user_external_id")
+    found = feeds.users_decoded(spark, sf_dir, key=42)
+    return V.hub_rows(_good(found, "users"), src).select("hk_users", "user_external_id")
 
 
 # ---- fan-out and model-driven load ---------------------------------------------

@@ -1 +1 @@
-"""Sinks: replay-safe vault storage with keyed reads and compaction."""
+"""Sinks: replay-safe vault storage with keyed reads."""

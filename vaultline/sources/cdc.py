@@ -112,8 +112,13 @@ def select_topics(events: DataFrame, *, service: str | None = None,
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A header CSV with a fixed schema; quoted fields may hold commas."""
+    """A header CSV with a fixed schema.
+
+    Quoted fields may hold commas, doubled quotes, backslashes (plain characters) and line breaks; for the line
+    breaks a file is read as a whole by one task, so large inputs should come as many files.
+    """
     return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"').option("multiLine", True)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
             .schema(schema).csv(path))
 
