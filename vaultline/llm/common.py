@@ -27,6 +27,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in Arrow batches of 8 MB at most, unless the session has a setting of its own.
+
+    Spark's default of 64 MB is held several times over by each task, on both sides of the pipe.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, "8m")
+
+
 def text_of(column: str | Column = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit(""))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, saved, table, text_of
+from .common import packed, saved, small_batches, table, text_of
 from .textarrays import ALPHANUMERIC, U64, blocks, window_hash
 
 WINDOW = 13
@@ -128,6 +128,7 @@ def judge(docs: DataFrame, items: DataFrame, carry: list[str], window: int = WIN
     All that is judged depends on the text alone, so hits are gathered by the text's key.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     id_type = dict(items.dtypes)["item_id"]
     wins = saved(items.select("item_id", text_of("text").alias("_t")).mapInArrow(
         _item_windows(window), f"item_id {id_type}, win string, n int, shingles array<bigint>"), "decontaminate-items")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_dir
-from .common import id_mod, table, text_of
+from .common import id_mod, small_batches, table, text_of
 from .files import mapped, put
 from .textarrays import NOT_SPACE, U64, blocks, mix
 
@@ -177,6 +177,7 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 def train(rows: DataFrame, name: str = "lm") -> dict:
     """Counts the texts ``_t`` of ``rows`` and writes the model; returns its folder and totals (a small dict)."""
     spark = rows.sparkSession
+    small_batches(spark)
     folder = fresh_dir(spark, name)
     side = _grid(int(spark.conf.get("spark.sql.shuffle.partitions")))
     pairs = rows.select("_t").mapInArrow(_count(side), "shard int, v binary, w binary, n binary")
@@ -278,6 +279,7 @@ def _score(facts: dict):
 
 def score(docs: DataFrame, carry: list, facts: dict) -> DataFrame:
     """Per row: ``_doc`` (its ``carry`` columns), n_tokens, n_known, base_score, score, perplexity."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.struct(*carry).alias("_doc"), text_of("text").alias("_t"))
     kind = T.StructType([rows.schema["_doc"]]).add("n_tokens", T.LongType()).add("n_known", T.LongType()) \
         .add("base_score", T.DoubleType()).add("score", T.DoubleType())

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SEGMENT = 1 << 20
 U64 = np.uint64
 #: An odd multiplier, so that it has an inverse modulo 2**64.

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table, text_of
+from .common import saved, small_batches, table, text_of
 
 BLOCK = re.compile(r"<(tool_call|tool_response)>(.*?)</\1>", re.S)
 SCHEMA = ("conv_id bigint, turn bigint, part int, kind string, call_id string, name string, errors array<string>, "
@@ -149,6 +149,7 @@ def _ordered(calls: DataFrame, edges: DataFrame) -> DataFrame:
 def link(messages: DataFrame, tools: dict) -> DataFrame:
     """(conv_id, turn, part, kind, call_id, name, status, valid, errors, ready_turn, level, json) for every text, call and
     result.  ``tools``: a JSON schema of the arguments by tool name."""
+    small_batches(messages.sparkSession)
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                            F.col("role").cast("string").alias("role"), text_of("text").alias("text"))
     parts = saved(rows.mapInArrow(_parts(tools), SCHEMA)

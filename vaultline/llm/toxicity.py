@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_mod, table, text_of
+from .common import id_mod, small_batches, table, text_of
 from .textarrays import ALPHANUMERIC, LOWER, U64, Block, blocks, mix, words_of
 
 FOLDS = 5
@@ -89,6 +89,7 @@ def _trigrams(batches):
 
 def character_model(docs: DataFrame) -> np.ndarray:
     """Costs -ln P(c | a, b) over SYMBOLS ** 3 entries, counted over all documents; smoothed by lower orders."""
+    small_batches(docs.sparkSession)
     counted = docs.select(text_of("text").alias("_t")).mapInArrow(_trigrams, "code int, n bigint") \
         .groupBy("code").agg(F.sum("n").alias("n")).toPandas()  # at most SYMBOLS ** 3 rows
     n = np.zeros(SYMBOLS ** 3)
@@ -305,6 +306,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray) -> tuple[np.ndar
 
 def score(docs: DataFrame, carry: list, cost: np.ndarray, lexicon: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Per row: ``_doc`` (its ``carry`` columns) and ``score``."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((cost, *lexicon))
 
     def run(batches):
