@@ -98,6 +98,26 @@ def shipments_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")))
 
 
+def user_addresses_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_to_decoded(M.user_addresses_rows(spark, sf_dir), model().source("user_addresses"),
+                           offset=F.col("number"), load_dt=_snapshot_ts())
+
+
+def pickup_points_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_to_decoded(M.pickup_points_rows(spark, sf_dir), model().source("pickup_points"),
+                           offset=F.col("pickup_point_code").cast("bigint"), load_dt=_snapshot_ts())
+
+
+def shipment_movements_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_to_decoded(M.shipment_movements_rows(spark, sf_dir), model().source("shipment_movements"),
+                           offset=F.col("number"), load_dt=_snapshot_ts())
+
+
+def shipment_status_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rows_to_decoded(M.shipment_status_rows(spark, sf_dir), model().source("shipment_status_history"),
+                           offset=F.col("number"), load_dt=_snapshot_ts())
+
+
 # topic name -> decoded feed builder, for model-driven loads
 DECODED_FEEDS = {
     "users": users_decoded,
@@ -108,6 +128,10 @@ DECODED_FEEDS = {
     "warehouses": warehouses_decoded,
     "shipments": shipments_decoded,
     "user_status_history": status_history_decoded,
+    "user_addresses": user_addresses_decoded,
+    "pickup_points": pickup_points_decoded,
+    "shipment_movements": shipment_movements_decoded,
+    "shipment_status_history": shipment_status_decoded,
 }
 
 

@@ -117,6 +117,49 @@ def shipments_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country and region by nation key."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
+        F.col("n_nationkey").alias("nation"), F.col("n_name").alias("country"), F.col("r_name").alias("region"))
+
+
+def user_addresses_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One home address per customer."""
+    c = table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey"))
+    return c.join(_places(spark, sf_dir), "nation").select(
+        F.concat(F.lit("A-"), _key("c_custkey")).alias("address_external_id"),
+        _key("c_custkey").alias("user_external_id"), F.lit("home").alias("address_type"), "country", "region",
+        (F.col("c_acctbal") > 0).alias("is_default"), F.col("c_custkey").alias("number"))
+
+
+def pickup_points_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every supplier also runs a pickup point."""
+    s = table(spark, sf_dir, "supplier").withColumn("nation", F.col("s_nationkey"))
+    return s.join(_places(spark, sf_dir), "nation").select(
+        _key("s_suppkey").alias("pickup_point_code"), F.col("s_name").alias("pickup_point_name"), "country", "region",
+        (F.col("s_acctbal") > 0).alias("is_active"))
+
+
+def shipment_movements_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dispatch of every order line; lines without a return flag decision (N) have lost their shipment."""
+    li = table(spark, sf_dir, "lineitem")
+    shipment = F.concat_ws("-", _key("l_orderkey"), _key("l_linenumber"))
+    return li.select(
+        F.when(F.col("l_returnflag") != "N", shipment).alias("shipment_external_id"),
+        F.lit("dispatch").alias("movement_type"), F.lit("warehouse").alias("location_type"),
+        _key("l_suppkey").alias("location_code"), epoch_millis("l_shipdate").alias("movement_datetime"),
+        F.col("l_orderkey").alias("number"))
+
+
+def shipment_status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat_ws("-", _key("l_orderkey"), _key("l_linenumber")).alias("shipment_external_id"),
+        F.col("l_linestatus").alias("new_status"), epoch_millis("l_shipdate").alias("changed_at"),
+        (F.col("l_returnflag") == "R").alias("customer_notified"), F.col("l_orderkey").alias("number"))
+
+
 def status_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status changes of users from ``events``: ordered by (ts, event_id)."""
     e = table(spark, sf_dir, "events")
