@@ -161,28 +161,6 @@ def loaded_targets(model: VaultModel, src: SourceTable) -> list[TargetTable]:
             if not (t.kind == "link" and not all(r.load or model.load_all for r in t.refs))]
 
 
-def count_loaded(decoded: DataFrame, model: VaultModel, src: SourceTable) -> DataFrame:
-    """Rows each vault table of the topic ends up with, from ONE pass over the events.
-
-    Keyed tables count distinct unique keys among the rows their condition
-    admits, history tables count admitted rows; all tables of the topic are
-    counted in a single aggregate (Spark expands each row once per distinct key
-    set and dedups map-side), so the source is scanned once however many
-    tables it feeds.  Returns (vault_table, kind, row_count).
-    """
-    targets = loaded_targets(model, src)
-    aggs = []
-    for i, t in enumerate(targets):
-        cond, keys = target_keys(src, t)
-        if keys is None:
-            aggs.append(F.count(F.when(cond, 1)).alias(f"c{i}"))
-        else:
-            aggs.append(F.countDistinct(*[F.when(cond, k) for k in keys]).alias(f"c{i}"))
-    wide = decoded.agg(*aggs)
-    stack = ", ".join(f"'{t.name}', '{t.kind}', c{i}" for i, t in enumerate(targets))
-    return wide.selectExpr(f"stack({len(targets)}, {stack}) AS (vault_table, kind, row_count)")
-
-
 def load_topic(decoded: DataFrame, model: VaultModel, src: SourceTable, batch_id=0,
                coercion: str = "typed", dedup: bool = True) -> dict[str, DataFrame]:
     """Fan one topic's good events out to every vault table it feeds.
