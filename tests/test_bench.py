@@ -19,4 +19,5 @@ def test_bench_prints_one_json_line():
     rec = json.loads(out[0])
     assert rec["metric"] == "total_query_seconds" and rec["unit"] == "sec" and rec["sf"] == 0.001
     assert set(rec["queries"]) == {"cohort_one_pass", "hub_upsert"}
+    assert rec["runs"] == 3 and all(rec["median"][q] >= t for q, t in rec["queries"].items())
     assert abs(rec["value"] - sum(rec["queries"].values())) < 1e-6
