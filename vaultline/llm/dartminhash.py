@@ -9,11 +9,11 @@ coordinate is its entry.  Texts with a coordinate left empty go on to twice the
 
 1. Texts with equal element sets form one node (copies are collapsed before any join).
 2. Bands of ``ROWS`` coordinates give buckets.  Pairs in a bucket are never all emitted: each member is compared with
-   the bucket's pivot, and only while they are not known to be connected; after ``PIVOTS`` rounds with other pivots
-   the members still apart from the pivot are compared with the bucket's members of other components, so that no
-   link between components is passed over.
-3. A pair is dropped early only if its sizes rule the similarity out, or if the one-bit signatures differ in more
-   places than a similar pair does (probability under 1e-9).  All others are verified on the exact sets.
+   the bucket's pivot (first the one with the most bucket mates, then the like of those still apart), and only while
+   they are not known to be connected.  After ``PIVOTS`` rounds all pairs between components that can still be links
+   are found by what they share outside of the pivot's set (``_left_over``), so that no link is passed over.
+3. A pair is dropped early only if its sizes rule the similarity out, or if four bits of each coordinate differ in
+   more places than a similar pair does (probability 3e-7).  All others are verified on the exact sets.
 4. Components by smallest label, with every round written to the shared folder.
 
 With 32 bands of 5, a pair at similarity 0.8 exactly misses all buckets with probability 3e-6.
@@ -25,22 +25,26 @@ empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, saved, table, text_of
+from .common import packed, saved, small_batches, table, text_of
 from .textarrays import NOT_SPACE, U64, Block, blocks, mix, window_hash
 
 SHINGLE = 5
 BANDS, ROWS = 32, 5
 K = BANDS * ROWS
 SIMILARITY_PCT = 80
-PIVOTS = 3
-#: Of K bits; a pair at 0.8 differs in 16 of 160 on average, with a deviation of 3.8.
-MAX_BITS = 44
+PIVOTS = 2
+#: Bits kept of each coordinate, and in how many coordinates a pair may differ by them: at similarity 0.8 it differs
+#: in 30 of 160 on average, in more than 56 with a probability of 3e-7.
+PLANES = 4
+MAX_DIFFER = 56
 BITMAP_BITS = 22
 C1, C2, C3 = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB), U64(0x8EBC6AF09C88C6E3)
 
@@ -141,15 +145,17 @@ def _signatures(weights: str):
             band = np.full((n, BANDS), 0, U64) + np.arange(BANDS, dtype=U64)
             for i in range(ROWS):
                 band = mix(band * C3 + sig[:, i::ROWS])
-            bits = np.packbits((sig >> U64(63)).astype(bool), axis=1)
-            bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))
+            # word after word, the planes of a word side by side
+            planes = [np.packbits(((sig >> U64(63 - p)) & U64(1)).astype(bool), axis=1) for p in range(PLANES)]
+            words = [np.ascontiguousarray(np.pad(p, ((0, 0), (0, -p.shape[1] % 8)))).view(np.int64) for p in planes]
+            bits = np.stack(words, axis=2).reshape(n, -1)
             s1, s2 = set_ids(row, value, weight, n)
             total = np.bincount(row, weights=weight, minlength=n).astype(np.int64)
             lists = lambda a: pa.ListArray.from_arrays(
                 np.arange(0, a.size + 1, a.shape[1], dtype=np.int32), pa.array(a.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [b.rows.column("_doc"), b.rows.column("_key"), pa.array(s1), pa.array(s2), pa.array(total),
-                 lists(band.view(np.int64)), lists(np.ascontiguousarray(bits).view(np.int64))],
+                 lists(band.view(np.int64)), lists(bits)],
                 names=["_doc", "_key", "s1", "s2", "n", "bands", "bits"])
     return run
 
@@ -175,11 +181,13 @@ def _sets(weights: str, bitmap):
 
 
 def _similar_enough(a: str, b: str) -> Column:
-    """What a similar pair must satisfy: sizes within the ratio, and few differing bits."""
-    differ = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range((K + 63) // 64)),
-                 F.lit(0))
+    """What a similar pair must satisfy: sizes within the ratio, and few coordinates that differ."""
+    def word(i):
+        planes = [F.col(f"{a}.bits")[i * PLANES + p].bitwiseXOR(F.col(f"{b}.bits")[i * PLANES + p]) for p in range(PLANES)]
+        return F.bit_count(reduce(Column.bitwiseOR, planes))
+    differ = reduce(Column.__add__, [word(i) for i in range((K + 63) // 64)])
     lo, hi = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return (lo * 100 >= hi * SIMILARITY_PCT) & (differ <= MAX_BITS)
+    return (lo * 100 >= hi * SIMILARITY_PCT) & (differ <= MAX_DIFFER)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -210,27 +218,56 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common.cast("long") * 100 >= union.cast("long") * SIMILARITY_PCT).select("a", "b")
 
 
+def _left_over(x: DataFrame, apart: DataFrame, central: DataFrame, sets: DataFrame) -> DataFrame:
+    """(v, w): all pairs that may still be links, of a member apart from its bucket's central one, h, and any other.
+
+    What two texts share lies outside of h's set, or they share at most m = min(|v & h|, |w & h|), which bounds the
+    similarity by m / (|v| + |w| - m).  So the pairs that share an element outside of h are joined by that element,
+    and of the others only those are kept that the bound allows.
+    """
+    hubs = central.withColumnRenamed("v", "hub")
+    mates = x.join(hubs.join(apart.select("key").distinct(), "key"), "key").select("v", "n", "bits", "label", "hub").distinct()
+    beside = mates.join(sets, "v").join(sets.select(F.col("v").alias("hub"), F.col("e").alias("eh")), "hub") \
+        .select("v", "n", "bits", "label", "hub", F.array_except("e", "eh").alias("outside"))
+    beside = saved(beside.withColumn("inside", F.col("n") - F.size("outside")), "near-beside")
+    rest = saved(beside.join(apart.join(hubs, "key").select("v", "hub").distinct(), ["v", "hub"], "left_semi"), "near-rest")
+    other = (F.col("r.label") != F.col("x.label")) & _similar_enough("r", "x")
+    each = lambda d: d.withColumn("element", F.explode("outside")).drop("outside")
+    by_element = each(rest).alias("r").join(each(beside).alias("x"), ["hub", "element"]).where(other)
+    m = F.least("r.inside", "x.inside")
+    by_bound = rest.drop("outside").alias("r").join(beside.drop("outside").alias("x"), "hub").where(
+        (m * 100 >= (F.col("r.n") + F.col("x.n") - m) * SIMILARITY_PCT) & other)
+    both = [d.select(F.col("r.v").alias("v"), F.col("x.v").alias("w")) for d in (by_element, by_bound)]
+    return both[0].union(both[1])
+
+
 def _links(nodes: DataFrame, sets: DataFrame, multi: DataFrame) -> DataFrame:
     """(v, label) of the nodes that are linked to others."""
     spark = nodes.sparkSession
     labels = spark.createDataFrame([], "v bigint, label bigint")
     tested = spark.createDataFrame([], "a bigint, b bigint")
+    central = None
     for turn in range(PIVOTS + 1):
         # a bucket of two is settled by its pivot
         x = (multi if turn == 0 else multi.where("c > 2")).join(labels, "v", "left")
         x = saved(x.withColumn("label", F.coalesce("label", "v")), "near-members")
-        pivot = saved(x.groupBy("key").agg(F.min(F.struct(F.xxhash64("v", F.lit(turn)).alias("order"), "v", "n", "bits", "label"))
-                                           .alias("p")).select("key", "p.*"), "near-pivots")
-        apart = x.alias("x").join(pivot.alias("p"), "key").where(F.col("x.label") != F.col("p.label"))
-        if apart.isEmpty():
-            return labels
+        best = F.max(F.struct("degree", "v")).alias("p")
+        if turn == 0:
+            central = pivot = saved(x.groupBy("key").agg(best).select("key", F.col("p.v").alias("v")), "near-pivots")
+            apart = x.alias("x")
+        else:  # members apart from the central one; of them the next pivot
+            main = saved(central.join(x.select("key", "v", F.col("label").alias("main")), ["key", "v"]).select("key", "main"), "near-main")
+            apart = saved(x.join(main, "key").where("label <> main").drop("main"), "near-apart")
+            if apart.isEmpty():
+                return labels
+            pivot = saved(apart.groupBy("key").agg(best).select("key", F.col("p.v").alias("v")), "near-pivots")
         if turn < PIVOTS:
-            pairs = apart.where(_similar_enough("x", "p")).select(F.col("x.v").alias("v"), F.col("p.v").alias("w"))
-        else:  # all that is left: members apart from the pivot with the bucket's members of other components
-            rest = saved(apart.select("x.*"), "near-rest")
-            pairs = rest.alias("r").join(x.alias("x"), "key").where(
-                (F.col("r.label") != F.col("x.label")) & _similar_enough("r", "x")) \
-                .select(F.col("r.v").alias("v"), F.col("x.v").alias("w"))
+            held = saved(pivot.join(x, ["key", "v"]), "near-pivots")
+            pairs = x.alias("x").join(held.alias("p"), "key").where(
+                (F.col("x.label") != F.col("p.label")) & _similar_enough("x", "p")) \
+                .select(F.col("x.v").alias("v"), F.col("p.v").alias("w"))
+        else:
+            pairs = _left_over(x, apart, central, sets)
         pairs = pairs.select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
         pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         tested = tested.union(pairs)
@@ -255,6 +292,7 @@ def classes(docs: DataFrame, carry: list[str], weights: str = "set") -> DataFram
     ``docs`` needs ``text`` and ``doc_id``; ``_key`` names a row's id and text.  A class id is the smallest doc_id.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     keyed = docs.select(F.struct(*carry).alias("_doc"), row_key(docs).alias("_key"), text_of("text").alias("_t"))
     long, longs = T.LongType(), T.ArrayType(T.LongType())
     kind = T.StructType([keyed.schema["_doc"], keyed.schema["_key"]]).add("s1", long).add("s2", long).add("n", long) \
@@ -262,9 +300,12 @@ def classes(docs: DataFrame, carry: list[str], weights: str = "set") -> DataFram
     seen = saved(keyed.mapInArrow(_signatures(weights), kind).withColumn("_row", F.monotonically_increasing_id()), "near-docs")
     nodes = saved(seen.where("n > 0").groupBy("s1", "s2", "n").agg(
         F.min("_row").alias("v"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "near-nodes")
-    entries = nodes.select("v", "n", "bits", F.explode("bands").alias("key"))
+    entries = nodes.select("v", F.explode("bands").alias("key"))
     shared = saved(entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "near-buckets")
-    multi = saved(entries.join(shared, "key"), "near-multi")
+    met = saved(entries.join(shared, "key"), "near-met")
+    # how many bucket mates a node has: the text that many others were made from has the most
+    degree = met.groupBy("v").agg(F.sum("c").alias("degree"))
+    multi = saved(met.join(nodes.select("v", "n", "bits").join(degree, "v"), "v"), "near-multi")
     wanted = nodes.join(multi.select("v").distinct(), "v", "left_semi").select("v", "s1", "s2")
     wanted = saved(wanted, "near-wanted")
     low = F.col("s1").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
