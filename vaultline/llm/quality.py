@@ -85,18 +85,19 @@ def assess(docs: DataFrame, min_words: int = 10, max_repeat_pct: int = 20, max_l
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     keep = F.array_sort(F.transform(F.filter("_judged", lambda x: ~(x["again"] | x["bad"])),
                                     lambda x: F.struct(x["i"].alias("i"), x["line"].alias("line"))))
+    # true, but not to be moved: a filter on a verdict stays above the rules; pushed below them, it would repeat the
+    # rules inside each other
+    here = F.monotonically_increasing_id() >= 0
     return d.select(
         "_doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words",
-        failed.alias("base_failed"),
-        (~failed & (100 * F.col("lost_words") <= max_lost_pct * F.col("n_words"))).alias("kept"),
+        (failed & here).alias("base_failed"),
+        (~failed & (100 * F.col("lost_words") <= max_lost_pct * F.col("n_words")) & here).alias("kept"),
         F.array_join(F.transform(keep, lambda x: x["line"]), "\n").alias("cleaned"))
 
 
 def clean(docs: DataFrame, **rules) -> DataFrame:
     """The documents that pass, failing lines removed, with all columns of ``docs``."""
-    # a condition on a value that cannot be moved keeps the filter above the rules; pushed below them, it would
-    # repeat the rules inside each other
-    d = assess(docs, **rules).withColumn("_at", F.monotonically_increasing_id()).where("kept and _at >= 0")
+    d = assess(docs, **rules).where("kept")
     new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
     types = dict(docs.dtypes)
     return d.select(*[(new[c].cast(types[c]) if c in new else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])
