@@ -7,11 +7,14 @@ block with ``id`` and ``content``.  What stands outside blocks is the message's
 1. Messages are taken apart (one row for the text, one for each block); arguments are held against the tool's schema.
 2. Calls and results are hash-joined by (conversation, id).  An id used again is a duplicate; the first call counts.
    The key is the id, not the conversation, so that a very long conversation is spread over the cluster.
-3. Calls are ordered topologically (Kahn's method, a round of joins for each level, written to the shared folder): an
-   entry is ready at the latest turn of what it needs, at one level more; a result follows its call.  Sorting by
-   (ready_turn, level, turn, part) gives every conversation in order; no conversation is gathered in one task.
-
-Status: ``text``; calls ``answered``, ``unanswered``, ``duplicate``, ``cyclic``; results ``linked``, ``orphan``; blocks that are
+3. Calls are ordered topologically: a call is ready at the latest ready turn of itself and what it needs, and among
+   the calls that are ready at one turn Kahn's method gives levels (a round of joins for each, written to the shared
+   folder).  What a call needs from earlier turns costs no round, however long such a chain is.  A result follows
+   its call.  Sorting by (ready_turn, level, turn, part) gives every conversation in order; no conversation is
+   gathered in one task.
+
+Status: ``text``; calls ``answered``, ``unanswered``, ``duplicate``, ``cyclic`` (in a cycle, or behind one at the same ready
+turn); results ``linked``, ``orphan``; blocks that are
 no JSON object with the needed members are ``malformed`` and keep their text.  ``errors`` lists what the schema or a reference
 violates.
 
@@ -120,30 +123,50 @@ def _parts(tools: dict):
     return run
 
 
+def _ready(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """(c, id, ready): the latest turn among a call and all that it needs, directly or not."""
+    state = calls.select("c", "id", F.col("turn").alias("ready"))
+    while True:  # a round for each time that a need stands later than what needs it
+        own = edges.join(state, ["c", "id"]).withColumnRenamed("ready", "now")
+        late = own.join(state.withColumnRenamed("id", "need"), ["c", "need"]).where("ready > now")
+        late = saved(late.groupBy("c", "id").agg(F.max("ready").alias("late")), "tool-late")
+        if late.isEmpty():
+            return state
+        state = saved(state.join(late, ["c", "id"], "left").select("c", "id", F.greatest("ready", "late").alias("ready")), "tool-ready")
+
+
 def _ordered(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """(c, id, ready, level) of the calls that are in no cycle and need none that is.
+    """(c, id, ready, level): the ready turn, and the level among the calls ready at that turn; calls in a cycle, or
+    behind one at the same turn, are left out.
 
     ``calls`` has (c, id, turn), ``edges`` (c, id, need); every need is a call.
     """
+    state = saved(_ready(calls, edges), "tool-ready")
+    edges = saved(edges.join(state, ["c", "id"]).join(
+        state.select("c", F.col("id").alias("need"), F.col("ready").alias("when")), ["c", "need"])
+        .where(F.col("ready") == F.col("when")).select("c", "id", "need"), "tool-same")
+    levels = _levels(state.select("c", "id"), edges)
+    return state.join(levels, ["c", "id"])
+
+
+def _levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """(c, id, level) of the calls (c, id) that Kahn's method reaches."""
     needs = saved(edges.groupBy("c", "id").agg(F.count("*").alias("n")), "tool-needs")
-    done = saved(calls.join(needs, ["c", "id"], "left_anti")
-                 .select("c", "id", F.col("turn").alias("ready"), F.lit(0).alias("level")), "tool-level")
-    last = done
-    counted = None
-    while not last.isEmpty():
-        # of each call: how many needs are met so far, and when
-        met = edges.join(last.select("c", F.col("id").alias("need"), "ready", "level"), ["c", "need"]) \
-            .groupBy("c", "id").agg(F.count("*").alias("met"), F.max("ready").alias("ready"), F.max("level").alias("level"))
+    done = saved(calls.join(needs, ["c", "id"], "left_anti").withColumn("level", F.lit(0)), "tool-level")
+    last, counted = done, None
+    while True:
+        # of each call: how many needs are met so far, and at which level the last of them
+        met = edges.join(last.select("c", F.col("id").alias("need"), "level"), ["c", "need"]) \
+            .groupBy("c", "id").agg(F.count("*").alias("met"), F.max("level").alias("level"))
         if counted is not None:
-            met = met.union(counted).groupBy("c", "id").agg(
-                F.sum("met").alias("met"), F.max("ready").alias("ready"), F.max("level").alias("level"))
+            met = met.union(counted).groupBy("c", "id").agg(F.sum("met").alias("met"), F.max("level").alias("level"))
         counted = saved(met, "tool-met")
-        ripe = counted.join(needs.withColumnRenamed("n", "met"), ["c", "id", "met"]).join(calls, ["c", "id"]) \
-            .select("c", "id", F.greatest("ready", "turn").alias("ready"), (F.col("level") + 1).cast("int").alias("level"))
-        last = saved(ripe, "tool-level")
+        last = saved(counted.join(needs.withColumnRenamed("n", "met"), ["c", "id", "met"])
+                     .select("c", "id", (F.col("level") + 1).cast("int").alias("level")), "tool-level")
+        if last.isEmpty():
+            return done
         counted = counted.join(last.select("c", "id"), ["c", "id"], "left_anti")
         done = done.union(last)
-    return done
 
 
 def link(messages: DataFrame, tools: dict) -> DataFrame:
@@ -219,13 +242,9 @@ def op7_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 c AS (SELECT conv_id, turn, text FROM m WHERE role = 'user'),
--- the unbroken chain of calls two turns apart gives the level
-l AS (
-  SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, turn - 2 * r ORDER BY turn) - 1 AS level
-  FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS r FROM c)),
 k AS (
-  SELECT c.conv_id, c.turn, c.text, l.level, a.turn IS NOT NULL AS answered, c.turn >= 2 AND b.turn IS NULL AS lost
-  FROM c JOIN l USING (conv_id, turn)
+  SELECT c.conv_id, c.turn, c.text, a.turn IS NOT NULL AS answered, c.turn >= 2 AND b.turn IS NULL AS lost
+  FROM c
   LEFT JOIN (SELECT conv_id, turn FROM m WHERE role = 'assistant') a ON a.conv_id = c.conv_id AND a.turn = c.turn + 1
   LEFT JOIN c b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2)
 SELECT conv_id, 3 * turn AS turn, 0 AS part, 'text' AS kind, NULL::VARCHAR AS call_id, 'text' AS status, true AS valid,
@@ -234,12 +253,12 @@ SELECT conv_id, 3 * turn AS turn, 0 AS part, 'text' AS kind, NULL::VARCHAR AS ca
 FROM m
 UNION ALL
 SELECT conv_id, 3 * turn + 1, 1, 'call', 'c' || turn, CASE WHEN answered THEN 'answered' ELSE 'unanswered' END, NOT lost,
-       CASE WHEN lost THEN 'after unknown c' || (turn - 2) ELSE '' END, 3 * turn + 1, level::INT,
+       CASE WHEN lost THEN 'after unknown c' || (turn - 2) ELSE '' END, 3 * turn + 1, 0,
        '{"arguments":{"question":' || to_json(text)::VARCHAR || ',"turn":' || turn || '},"id":"c' || turn || '","name":"answer","type":"tool_call"}'
 FROM k
 UNION ALL
 SELECT m.conv_id, 3 * m.turn - 1, 1, 'result', 'c' || (m.turn - 1), CASE WHEN k.turn IS NULL THEN 'orphan' ELSE 'linked' END, true, '',
-       3 * m.turn - 1, CASE WHEN k.turn IS NULL THEN 0 ELSE k.level + 1 END::INT,
+       3 * m.turn - 1, CASE WHEN k.turn IS NULL THEN 0 ELSE 1 END,
        '{"content":' || to_json(m.text)::VARCHAR || ',"tool_call_id":"c' || (m.turn - 1) || '","type":"tool_result"}'
 FROM m LEFT JOIN k ON k.conv_id = m.conv_id AND k.turn = m.turn - 1 WHERE m.role = 'assistant'
 """
