@@ -1,4 +1,5 @@
 import json
+import random
 
 from tools.check_oracle import duck, rows_of
 from vaultline.llm import toollink as L
@@ -53,6 +54,54 @@ def test_a_long_chain_and_a_diamond(spark):
     assert [got[2, k] for k in "slrt"] == [(0, 0), (0, 1), (0, 1), (0, 2)]
 
 
+def test_what_stands_behind_a_cycle_is_cyclic_at_every_turn(spark):
+    rows = [(1, 1, "assistant", call("a", after=["b"]) + call("b", after=["a"]), "x", 1), (1, 3, "tool", answer("c"), "x", 1),
+            (1, 5, "assistant", call("c", after=["a"]) + call("free"), "x", 1), (1, 7, "assistant", call("d", after=["c"]), "x", 1),
+            (1, 9, "assistant", call("e", after=["free"]) + call("f", after=["e", "d"]), "x", 1),
+            (2, 1, "assistant", call("a"), "x", 1), (2, 5, "assistant", call("c", after=["a"]), "x", 1)]
+    got = {(r["conv_id"], r["call_id"]): r["status"] for r in linked(spark, rows) if r["kind"] == "call"}
+    assert {k[1]: v for k, v in got.items() if k[0] == 1} == {
+        "a": "cyclic", "b": "cyclic", "c": "cyclic", "free": "unanswered", "d": "cyclic", "e": "unanswered", "f": "cyclic"}
+    assert got[2, "c"] == "unanswered"
+
+
+def test_calls_follow_the_results_they_need(spark):
+    rows = [(1, 0, "assistant", call("p") + call("q", after=["p"]) + answer("p"), "x", 1), (1, 1, "assistant", call("r", after=["q"]), "x", 1),
+            (1, 4, "tool", answer("q"), "x", 1), (1, 4, "assistant", call("s", after=["r"]), "x", 1), (1, 5, "tool", answer("r"), "x", 1)]
+    got = [(r["kind"], r["call_id"], r["ready_turn"], r["level"]) for r in linked(spark, rows)]
+    assert got == [("call", "p", 0, 0), ("result", "p", 0, 1), ("call", "q", 0, 2), ("result", "q", 4, 1), ("call", "r", 4, 2),
+                   ("result", "r", 5, 1), ("call", "s", 5, 2)]
+
+
+def test_random_needs_against_brute_force(spark):
+    rng = random.Random(7)
+    rows, turn, after, heard = [], {}, {}, {}
+    for conv in range(40):
+        ids = [f"k{i}" for i in range(8)]
+        for i in ids:
+            key = (conv, i)
+            turn[key] = rng.randrange(6)
+            after[key] = rng.sample(ids, rng.choice([0, 0, 1, 1, 2]))
+            rows.append((conv, turn[key], "assistant", call(i, after=after[key]), "x", 1))
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                t = rng.randrange(9)
+                heard[key] = min(t, heard.get(key, t))
+                rows.append((conv, t, "tool", answer(i), "x", 1))
+    got = linked(spark, rows)
+    good: set = set()  # all that they need is good already
+    while len(good) < len(good := good | {k for k in turn if all((k[0], n) in good for n in after[k])}):
+        pass
+    assert {(r["conv_id"], r["call_id"]) for r in got if r["kind"] == "call" and r["status"] != "cyclic"} == good
+    assert 0 < len(good) < len(turn)
+    place, first = {}, {}
+    for at, r in enumerate(got):
+        (place if r["kind"] == "call" else first).setdefault((r["conv_id"], r["call_id"]), at)
+    for k in good:
+        assert k not in first or place[k] < first[k]
+        for n in after[k]:
+            assert place[k] > max(place[k[0], n], first.get((k[0], n), -1))
+
+
 def test_schemas():
     v = lambda x: L.violations(x, TOOLS["add"])
     assert v({"a": 1, "b": 2.5, "how": "fast", "list": ["x"]}) == []

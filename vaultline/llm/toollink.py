@@ -7,14 +7,15 @@ block with ``id`` and ``content``.  What stands outside blocks is the message's
 1. Messages are taken apart (one row for the text, one for each block); arguments are held against the tool's schema.
 2. Calls and results are hash-joined by (conversation, id).  An id used again is a duplicate; the first call counts.
    The key is the id, not the conversation, so that a very long conversation is spread over the cluster.
-3. Calls are ordered topologically: a call is ready at the latest ready turn of itself and what it needs, and among
-   the calls that are ready at one turn Kahn's method gives levels (a round of joins for each, written to the shared
-   folder).  What a call needs from earlier turns costs no round, however long such a chain is.  A result follows
-   its call.  Sorting by (ready_turn, level, turn, part) gives every conversation in order; no conversation is
-   gathered in one task.
-
-Status: ``text``; calls ``answered``, ``unanswered``, ``duplicate``, ``cyclic`` (in a cycle, or behind one at the same ready
-turn); results ``linked``, ``orphan``; blocks that are
+3. Calls are ordered topologically: a call is ready at the latest turn of itself, what it needs and the first results
+   of that, and among the calls that are ready at one turn Kahn's method gives levels (a round of joins for each,
+   written to the shared folder).  What a call needs from earlier turns costs no round, however long such a chain is;
+   only calls behind a cycle do, a round for each step.  A result follows its call, and a call the first result of
+   each call that it needs.  Sorting by (ready_turn, level, turn, part) gives every conversation in order; no
+   conversation is gathered in one task.
+
+Status: ``text``; calls ``answered``, ``unanswered``, ``duplicate``, ``cyclic`` (in a cycle, or behind one at
+whatever turn); results ``linked``, ``orphan``; blocks that are
 no JSON object with the needed members are ``malformed`` and keep their text.  ``errors`` lists what the schema or a reference
 violates.
 
@@ -124,45 +125,66 @@ def _parts(tools: dict):
 
 
 def _ready(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """(c, id, ready): the latest turn among a call and all that it needs, directly or not."""
-    state = calls.select("c", "id", F.col("turn").alias("ready"))
+    """(c, id, ready, heard): the latest turn among a call, all that it needs, directly or not, and their first results."""
+    state = calls.select("c", "id", F.col("turn").alias("ready"), "heard")
     while True:  # a round for each time that a need stands later than what needs it
-        own = edges.join(state, ["c", "id"]).withColumnRenamed("ready", "now")
-        late = own.join(state.withColumnRenamed("id", "need"), ["c", "need"]).where("ready > now")
-        late = saved(late.groupBy("c", "id").agg(F.max("ready").alias("late")), "tool-late")
+        own = edges.join(state.select("c", "id", F.col("ready").alias("now")), ["c", "id"])
+        there = state.select("c", F.col("id").alias("need"), F.greatest("ready", "heard").alias("when"))
+        late = own.join(there, ["c", "need"]).where(F.col("when") > F.col("now"))
+        late = saved(late.groupBy("c", "id").agg(F.max("when").alias("late")), "tool-late")
         if late.isEmpty():
             return state
-        state = saved(state.join(late, ["c", "id"], "left").select("c", "id", F.greatest("ready", "late").alias("ready")), "tool-ready")
+        state = saved(state.join(late, ["c", "id"], "left").select("c", "id", F.greatest("ready", "late").alias("ready"), "heard"),
+                      "tool-ready")
 
 
 def _ordered(calls: DataFrame, edges: DataFrame) -> DataFrame:
     """(c, id, ready, level): the ready turn, and the level among the calls ready at that turn; calls in a cycle, or
-    behind one at the same turn, are left out.
+    behind one at whatever turn, are left out.
 
-    ``calls`` has (c, id, turn), ``edges`` (c, id, need); every need is a call.
+    ``calls`` has (c, id, turn, heard), ``heard`` the turn of the first result, if any; ``edges`` (c, id, need); every
+    need is a call.
     """
     state = saved(_ready(calls, edges), "tool-ready")
-    edges = saved(edges.join(state, ["c", "id"]).join(
-        state.select("c", F.col("id").alias("need"), F.col("ready").alias("when")), ["c", "need"])
-        .where(F.col("ready") == F.col("when")).select("c", "id", "need"), "tool-same")
-    levels = _levels(state.select("c", "id"), edges)
-    return state.join(levels, ["c", "id"])
+    there = state.select("c", F.col("id").alias("need"), F.col("ready").alias("when"), F.greatest("ready", "heard").alias("until"),
+                         F.when(F.col("heard").isNull(), 1).otherwise(2).alias("step"))
+    # what ends before the turn asks for no order; a result later than its call has level 1 there
+    met = saved(edges.join(state.select("c", "id", "ready"), ["c", "id"]).join(there, ["c", "need"])
+                .where(F.col("until") == F.col("ready")).select("c", "id", "need", "step", (F.col("when") < F.col("ready")).alias("later")),
+                "tool-same")
+    least = met.where("later").select("c", "id").distinct().withColumn("level", F.lit(2))
+    calls = state.select("c", "id").join(least, ["c", "id"], "left").select("c", "id", F.coalesce("level", F.lit(0)).alias("level"))
+    same = met.where("not later").select("c", "id", "need", "step")
+    levels = saved(_levels(calls, same), "tool-levels")
+    blocked = _blocked(state.select("c", "id").join(levels, ["c", "id"], "left_anti"), edges)
+    return state.select("c", "id", "ready").join(levels, ["c", "id"]).join(blocked, ["c", "id"], "left_anti")
+
+
+def _blocked(cyclic: DataFrame, edges: DataFrame) -> DataFrame:
+    """The calls (c, id) given and all that need one of them, directly or not."""
+    last = done = saved(cyclic, "tool-blocked")
+    while not last.isEmpty():  # a round for each step behind a cycle; calls behind none cost nothing
+        behind = edges.join(last.withColumnRenamed("id", "need"), ["c", "need"]).select("c", "id").distinct()
+        last = saved(behind.join(done, ["c", "id"], "left_anti"), "tool-blocked")
+        done = done.union(last)
+    return done
 
 
 def _levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """(c, id, level) of the calls (c, id) that Kahn's method reaches."""
+    """(c, id, level) of the calls (c, id, least level) that Kahn's method reaches; an edge raises the level by its step."""
     needs = saved(edges.groupBy("c", "id").agg(F.count("*").alias("n")), "tool-needs")
-    done = saved(calls.join(needs, ["c", "id"], "left_anti").withColumn("level", F.lit(0)), "tool-level")
+    done = saved(calls.join(needs, ["c", "id"], "left_anti"), "tool-level")
+    waiting = calls.withColumnRenamed("level", "least")
     last, counted = done, None
     while True:
-        # of each call: how many needs are met so far, and at which level the last of them
+        # of each call: how many needs are met so far, and the level that they ask for
         met = edges.join(last.select("c", F.col("id").alias("need"), "level"), ["c", "need"]) \
-            .groupBy("c", "id").agg(F.count("*").alias("met"), F.max("level").alias("level"))
+            .groupBy("c", "id").agg(F.count("*").alias("met"), F.max(F.col("level") + F.col("step")).alias("level"))
         if counted is not None:
             met = met.union(counted).groupBy("c", "id").agg(F.sum("met").alias("met"), F.max("level").alias("level"))
         counted = saved(met, "tool-met")
-        last = saved(counted.join(needs.withColumnRenamed("n", "met"), ["c", "id", "met"])
-                     .select("c", "id", (F.col("level") + 1).cast("int").alias("level")), "tool-level")
+        last = saved(counted.join(needs.withColumnRenamed("n", "met"), ["c", "id", "met"]).join(waiting, ["c", "id"])
+                     .select("c", "id", F.greatest("level", "least").alias("level")), "tool-level")
         if last.isEmpty():
             return done
         counted = counted.join(last.select("c", "id"), ["c", "id"], "left_anti")
@@ -187,8 +209,9 @@ def link(messages: DataFrame, tools: dict) -> DataFrame:
     edges = saved(wanted.join(first.select("c", F.col("id").alias("need")), ["c", "need"]).select("c", "id", "need"), "tool-edges")
     missing = saved(wanted.join(first.select("c", F.col("id").alias("need")), ["c", "need"], "left_anti")
                     .groupBy("c", "id").agg(F.array_sort(F.collect_set("need")).alias("missing")), "tool-missing")
-    order = _ordered(first.select("c", "id", "turn"), edges)
-    answers = parts.where("kind = 'result'").select("c", F.col("call_id").alias("id")).distinct().withColumn("answered", F.lit(True))
+    answers = saved(parts.where("kind = 'result'").groupBy("c", F.col("call_id").alias("id")).agg(F.min("t").alias("heard")), "tool-answers")
+    order = _ordered(first.join(answers, ["c", "id"], "left").select("c", "id", "turn", "heard"), edges)
+    answers = answers.select("c", "id", F.lit(True).alias("answered"))
     facts = first.join(order, ["c", "id"], "left").join(answers, ["c", "id"], "left").join(missing, ["c", "id"], "left")
     facts = saved(facts.select("c", F.col("id").alias("call_id"), F.col("turn").alias("at_turn"), F.col("part").alias("at_part"),
                                "ready", "level", "answered", "missing"), "tool-facts")
@@ -203,7 +226,8 @@ def link(messages: DataFrame, tools: dict) -> DataFrame:
     known = F.col("ready").isNotNull() & (own | ~call)
     linked = linked.select("conv_id", "turn", "part", "kind", "call_id", "name", status.alias("status"), errors.alias("errors"),
                            F.when(known, F.greatest("t", "ready")).otherwise(F.col("t")).alias("ready_turn"),
-                           F.when(known, F.col("level") + F.when(call, 0).otherwise(1)).otherwise(0).alias("level"), "json")
+                           F.when(~known, 0).when(call, F.col("level")).when(F.col("t") > F.col("ready"), 1)
+                           .otherwise(F.col("level") + 1).alias("level"), "json")
     plain = parts.where("call_id is null").select("conv_id", "turn", "part", "kind", "call_id", "name", F.col("kind").alias("status"),
                                                   "errors", F.col("t").alias("ready_turn"), F.lit(0).alias("level"), "json")
     return linked.unionByName(plain).withColumn("valid", F.size("errors") == 0)
