@@ -1,3 +1,5 @@
+import zlib
+
 import pytest
 
 from vaultline.llm import toxicity as X
@@ -5,6 +7,7 @@ from vaultline.llm.common import table
 
 from . import cases
 
+LETTERS = "bcdfghjklmnpqrstvwxz"
 SF = "/root/testdata/sf0.01"
 
 
@@ -45,6 +48,19 @@ def test_disguised_words_score_like_plain_ones(spark, cost):
     assert s[1] > 0.9 and abs(s[1] - s[2]) < 0.05 and s[3] < 0.5 and s[4] == s[5] < 0.5
 
 
+def test_a_rare_precise_word_is_found_behind_many_frequent_ones(spark, cost):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % X.FOLDS][:28]
+    toxic = {i: int(at < 12) for at, i in enumerate(ids)}
+    common = " ".join("".join(LETTERS[i // 20 ** k % 20] for k in range(4)) for i in range(70_000))  # in every row
+    rows = [(i, common + (" scumbag" if i in ids[:6] else "")) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    keys, precision = X.train(docs, labels, cost)
+    word = spark.createDataFrame([(1, "scumbag"), (2, "bcdf")], "doc_id long, text string")
+    s = {r[0]: r[1] for r in X.score(word, ["doc_id"], cost, (keys, precision)).select("_doc.doc_id", "score").collect()}
+    assert s[1] > 0.5 > s[2] and (precision >= X.STRONG).all() and (keys[1:] > keys[:-1]).all()
+
+
 def test_edges(spark, monkeypatch):
     labels = spark.createDataFrame([(1, 1, 1), (None, 1, 1), (2, 1, None), (3, 0, 0)], "doc_id long, quality int, toxic int")
     docs = cases.edge_documents(spark)

@@ -8,7 +8,7 @@ over the words of all documents.
 
 Scoring.  Features are the restored text's words and their beginnings (4 and 6 bytes).  A feature's precision is
 estimated from the labelled training rows (shrunk to the base rate by ``PRIOR`` rows); those of at least
-``STRONG`` form the lexicon, of ``MAX_FEATURES`` entries at most.  A text's score is the chance that any of its
+``STRONG`` form the lexicon; every feature is counted, by a shuffle.  A text's score is the chance that any of its
 lexicon features is right: 1 - (1 - floor) * prod(1 - precision).
 
 The fit takes all labelled rows up to about ``MAX_LABELS``, beyond that a share of them by a hash of the id (documented
@@ -22,7 +22,6 @@ without labels every text gets the floor; an empty table gives an empty result.
 from __future__ import annotations
 
 import dataclasses
-import math
 import re
 from functools import lru_cache
 
@@ -37,7 +36,6 @@ from .textarrays import ALPHANUMERIC, LOWER, U64, Block, blocks, mix, words_of
 
 FOLDS = 5
 MAX_LABELS = 400_000
-MAX_FEATURES = 1 << 16
 PRIOR = 10
 STRONG = 0.5
 LEAST_SUPPORT = 3
@@ -247,24 +245,24 @@ def _bitmap(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _documents_with(model, keys=None):
-    """(feature, n): in how many of the rows each feature occurs; only those among ``keys`` if given."""
+def _documents_with(model):
+    """(feature, p, q): in how many of the toxic and of the other rows each feature occurs."""
     def run(batches):
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out():
-            value, n = np.unique(np.concatenate(held), return_counts=True)
+            value, at = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+            toxic = np.concatenate([t for _, t in held])
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], names=["f", "n"])
+            p = np.bincount(at[toxic], minlength=len(value))
+            q = np.bincount(at[~toxic], minlength=len(value))
+            return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(p.astype(np.int64)), pa.array(q.astype(np.int64))],
+                                              names=["f", "p", "q"])
         size = 0
-        bitmap = None if keys is None else _bitmap(keys.value)
         for b in blocks(batches):
-            row, value = features(b, model.value)
-            if keys is not None:
-                at, _ = _member(keys.value, bitmap, value)
-                row, value = row[at], value[at]
-            held.append(_distinct(row, value)[1])
-            size += len(held[-1])
+            row, value = _distinct(*features(b, model.value))
+            held.append((value, b.rows.column("toxic").to_numpy(zero_copy_only=False)[row] == 1))
+            size += len(value)
             if size > FLUSH:
                 yield out()
                 size = 0
@@ -288,20 +286,16 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray) -> tuple[np.ndar
     text = docs.select("doc_id", text_of("text").alias("_t"))
     model = spark.sparkContext.broadcast(cost)
 
-    def counted(toxic: int, keys=None) -> DataFrame:
-        rows = text.join(F.broadcast(use.where(F.col("toxic") == toxic).select("doc_id")), "doc_id").select("_t")
-        return rows.mapInArrow(_documents_with(model, keys), "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
-    # a feature of a strong precision is in many toxic rows; only the most frequent can be in the lexicon
-    least = max(LEAST_SUPPORT, math.ceil(PRIOR * STRONG / 2))
-    bad = counted(1).where(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(MAX_FEATURES).toPandas()
-    keys = np.sort(bad["f"].to_numpy(np.int64).view(U64))
-    good = counted(0, spark.sparkContext.broadcast(keys)).toPandas()  # at most a row for each key
-    p, q = np.zeros(len(keys)), np.zeros(len(keys))
-    p[np.searchsorted(keys, bad["f"].to_numpy(np.int64).view(U64))] = bad["n"]
-    q[np.searchsorted(keys, good["f"].to_numpy(np.int64).view(U64))] = good["n"]
+    rows = text.join(F.broadcast(use.where("toxic in (0, 1)")), "doc_id").select("_t", "toxic")
     base = size[1] / (size[0] + size[1])
-    precision = (p + PRIOR * base) / (p + q + PRIOR)
-    return keys[precision >= STRONG], precision[precision >= STRONG]
+    found = rows.mapInArrow(_documents_with(model), "f bigint, p bigint, q bigint").groupBy("f").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+    # only strong features reach the driver: each is in several toxic rows, whose number is bounded
+    strong = found.where(F.col("p") >= LEAST_SUPPORT) \
+        .select("f", ((F.col("p") + F.lit(PRIOR * base)) / (F.col("p") + F.col("q") + F.lit(PRIOR))).alias("precision")) \
+        .where(F.col("precision") >= STRONG).toPandas()
+    keys = strong["f"].to_numpy(np.int64).view(U64)
+    order = np.argsort(keys)
+    return keys[order], strong["precision"].to_numpy(np.float64)[order]
 
 
 def score(docs: DataFrame, carry: list, cost: np.ndarray, lexicon: tuple[np.ndarray, np.ndarray]) -> DataFrame:
