@@ -32,6 +32,15 @@ def test_restored_texts(spark, cost):
     assert "loser" in got[6]
 
 
+def test_light_disguises_are_read_and_clean_words_kept(spark, cost):
+    words = {"stu.pid": "stupid", "id-iot": "idiot", "st*pid": "stupid", "st.up.id": "stupid", "stu pid": "stupid", "m oron": "moron",
+             "s tu p i d": "stupid", "stuupid": "stupid", "iddiot": "idiot", "lo ser": "loser", "Stu-pid,": "stupid,",
+             "worthless": "worthless", "a well-known one": "a well-known one", "it is in the end of it": "it is in the end of it"}
+    docs = spark.createDataFrame([(i, f"you are {w} of course") for i, w in enumerate(words)], "doc_id long, text string")
+    got = {r[0]: r[1] for r in X.restore(docs, cost, ["doc_id"]).select("_doc.doc_id", "restored").collect()}
+    assert [got[i] for i in range(len(words))] == [f"you are {w} of course" for w in words.values()]
+
+
 def test_held_out_accuracy(spark):
     x = X.op4_toxicity(spark, SF).join(table(spark, SF, "labels"), "doc_id").where("held_out").toPandas()
     assert (x["predicted"] == x["toxic"]).mean() > 0.93

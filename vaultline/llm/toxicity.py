@@ -1,7 +1,9 @@
 """Toxicity by a noisy channel: disguised words are restored, then the restored text is scored.
 
 Restoring.  Suspects are words with letters written as digits or signs, single letters set apart by spaces or marks,
-and letters said three times or more.  Every sign of a suspect opens a step of a lattice: a letter for itself, a
+and letters said three times or more; further words with inner marks or a letter doubled, and neighbours of at most
+``FRAGMENT`` letters, where the character model gains by reading them without.  For these the text as it stands is a
+reading without cost, so that clean words stay; a ``*`` may also hide a letter.  Every sign of a suspect opens a step of a lattice: a letter for itself, a
 stand-in for each letter it may mean, a mark or space for nothing or for a word's end, a repetition for nothing.
 Viterbi finds the path of the least cost under the channel's costs and a character trigram model, which is counted
 over the words of all documents.
@@ -53,6 +55,11 @@ COST_MARK_DROPPED = 0.1
 COST_BREAK = 2.5
 COST_REPEAT_DROPPED = 0.3
 COST_OTHER = 6.0
+# where the text as it stands is a reading, at no cost: what the others must save
+COST_JOINED = 5.0
+COST_DOUBLE_DROPPED = 7.0
+COST_MASKED = 2.0
+FRAGMENT = 4  # letters of a fragment that spaces set apart
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SYMBOLS = 28  # the edge of a word, 26 letters, all other
@@ -103,22 +110,29 @@ def character_model(docs: DataFrame) -> np.ndarray:
 
 # ------------------------------------------------------------------ restoring
 
-def decode(seen: str, cost: np.ndarray) -> str:
-    """The likeliest words behind a suspect (lower case), one space between."""
+def decode(seen: str, cost: np.ndarray, mild: bool = False) -> str:
+    """The likeliest words behind a suspect (lower case), one space between.  ``mild``: the text as it stands, its marks
+    read as the ends of words, is a reading without cost."""
     best = {(0, 0): (0.0, "")}  # state: the last two symbols of the path
     long_run = {i for m in re.finditer(r"(.)\1\1+", seen) for i in range(m.start() + 1, m.end())}
+    spelled = {m.start() for m in re.finditer(r"(?<![^ ]{2}) (?=[^ ](?: |$))", seen)}  # between two single letters
     for i, c in enumerate(seen):
         steps: list[tuple[str, float]] = []  # what the sign writes, and the channel's cost
         if c in STANDS_FOR:
             steps += [(x, COST_STAND_IN) for x in STANDS_FOR[c]]
         elif c in MARKS:
-            steps += [("", COST_MARK_DROPPED), (" ", COST_BREAK)]
+            light = mild and i not in spelled
+            steps += [("", COST_JOINED), (" ", 0.0)] if light else [("", COST_MARK_DROPPED), (" ", COST_BREAK)]
+            if c == "*" and mild:  # a letter hidden
+                steps += [(x, COST_MASKED) for x in LETTERS]
         elif c in LETTERS:
             steps.append((c, 0.0))
         else:
             steps.append((c, 0.0 if c.isalpha() else COST_OTHER))
         if i in long_run:
             steps.append(("", COST_REPEAT_DROPPED))
+        elif i and c == seen[i - 1] and c in LETTERS:
+            steps.append(("", COST_DOUBLE_DROPPED))
         elif c in STANDS_FOR and c in "!|+$@":
             steps.append(("", COST_OTHER / 2))
         new: dict[tuple[int, int], tuple[float, str]] = {}
@@ -139,8 +153,45 @@ def decode(seen: str, cost: np.ndarray) -> str:
     return min((spent + cost[a, b, 0], path) for (a, b), (spent, path) in best.items())[1].strip()
 
 
-def _suspects(b: Block) -> np.ndarray:
-    """Which words (not spaces) are suspects; runs of single letters are marked as a whole."""
+def _mild(b: Block, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words the model would rather read without an inner mark or with one letter of two alike, and which it
+    would rather read as one with the next word, both being short."""
+    symbol = np.where(LETTER[b.data], CLASS[b.data], 0)
+    marked, joined = np.zeros(len(b.start), bool), np.zeros(len(b.start), bool)
+    if len(b.data) < 3:
+        return marked, joined
+
+    def at(place, begin, end):  # the symbol there, an edge outside
+        return np.where((place >= begin) & (place < end), symbol[np.clip(place, 0, len(symbol) - 1)], 0)
+
+    def saves(i, begin, end):  # what it saves to drop the sign at i
+        a2, a1, b1, b2 = (at(i + k, begin, end) for k in (-2, -1, 1, 2))
+        apart = cost[a2, a1, 0] + cost[0, 0, b1] + cost[0, b1, b2]
+        return (apart - cost[a2, a1, b1] - cost[a1, b1, b2] > COST_JOINED) & (a1 > 0) & (a1 < 27) & (b1 > 0) & (b1 < 27)
+
+    word = lambda i: np.searchsorted(b.start, i, "right") - 1
+    i = np.flatnonzero(MARK[b.data] & (b.data != 32))
+    if len(i) and len(b.start):
+        w = word(i)
+        i, w = i[w >= 0], w[w >= 0]
+        hidden = (b.data[i] == ord("*")) & (i > b.start[w]) & (i < b.end[w] - 1)
+        marked[w[hidden | saves(i, b.start[w], b.end[w])]] = True
+    i = 1 + np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] > 0) & (symbol[1:] < 27))
+    if len(i):
+        w = word(i)
+        i, w = i[i > b.start[w]], w[i > b.start[w]]
+        x, a, y = at(i - 2, b.start[w], b.end[w]), symbol[i], at(i + 1, b.start[w], b.end[w])
+        marked[w[cost[x, a, a] + cost[a, a, y] - cost[x, a, y] > COST_DOUBLE_DROPPED]] = True
+    total = np.concatenate([[0], np.cumsum(LETTER[b.data])])
+    letters, length = total[b.end] - total[b.start], b.end - b.start
+    short = (letters <= FRAGMENT) & (length <= letters + 2)
+    w = np.flatnonzero(short[:-1] & short[1:] & (b.start[1:] == b.end[:-1] + 1) & (b.row[1:] == b.row[:-1]))
+    joined[w[saves(b.end[w], b.start[w], b.end[w + 1])]] = True
+    return marked, joined
+
+
+def _suspects(b: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Which words (not spaces) are suspects, and which of them are in a run of single letters."""
     total = lambda flags: np.concatenate([[0], np.cumsum(flags[b.data])])
     within = lambda sums: sums[b.end] - sums[b.start]
     letters, stands, marks = within(total(LETTER)), within(total(STAND_IN)), within(total(MARK))
@@ -162,6 +213,8 @@ def _suspects(b: Block) -> np.ndarray:
     return tripled | spelled | leet | apart, apart
 
 
+#: What stands between marks.
+PLAIN = re.compile("[^" + re.escape(MARKS) + "]+")
 #: Closing signs that are punctuation, not letters.
 CLOSING = re.compile(r"[!|+.,;:?)\]}\"'*%&#$@-]+$")
 
@@ -169,27 +222,33 @@ CLOSING = re.compile(r"[!|+.,;:?)\]}\"'*%&#$@-]+$")
 def restored(b: Block, cost: np.ndarray) -> pa.Array:
     """The block's texts with suspects replaced by what they are read as; other texts as they are."""
     read = lru_cache(1 << 16)(lambda s: decode(s, cost))
-    suspect, apart = _suspects(b)
-    at = np.flatnonzero(suspect)
+    gently = lru_cache(1 << 16)(lambda s: decode(s, cost, True))
+    strong, apart = _suspects(b)
+    marked, joined = _mild(b, cost)
+    # words of one run: single letters apart, and what is joined to the next
+    on = np.zeros(len(apart), bool)
+    on[:-1] = joined[:-1] | (apart[:-1] & apart[1:] & (b.row[1:] == b.row[:-1]))
+    after = np.zeros(len(apart), bool)
+    after[1:] = on[:-1]
     texts = [b.data[b.offsets[r]:b.offsets[r + 1]].tobytes() for r in range(len(b.offsets) - 1)]
     parts: dict[int, list[bytes]] = {}
     done: dict[int, int] = {}
-    i = 0
-    while i < len(at):
-        w = int(at[i])
-        r, j = int(b.row[w]), i + 1
-        if apart[w]:  # the whole run of single letters
-            while j < len(at) and at[j] == at[j - 1] + 1 and apart[at[j]] and b.row[at[j]] == r:
-                j += 1
-        s, e = int(b.start[w]), int(b.end[at[j - 1]])
+    for w in np.flatnonzero((strong | marked | on) & ~after).tolist():
+        r, j = int(b.row[w]), w
+        while on[j]:
+            j += 1
+        s, e = int(b.start[w]), int(b.end[j])
         word = b.data[s:e].tobytes().decode().lower()
-        if apart[w]:
+        mild = not strong[w] or bool(joined[w:j].any() and not apart[w:j + 1].all())
+        if j > w:
             word = " ".join(word.split())
         bare = CLOSING.sub("", word)
         if len(bare) > 2 and bare.strip("0123456789"):
-            parts.setdefault(r, []).extend([texts[r][done.get(r, 0):s - b.offsets[r]], read(bare).encode(), word[len(bare):].encode()])
+            out = gently(bare) if mild else read(bare)
+            if mild and out.split() == PLAIN.findall(bare):
+                continue
+            parts.setdefault(r, []).extend([texts[r][done.get(r, 0):s - b.offsets[r]], out.encode(), word[len(bare):].encode()])
             done[r] = e - int(b.offsets[r])
-        i = j
     for r, pieces in parts.items():
         texts[r] = b"".join([*pieces, texts[r][done[r]:]])
     return pa.array(texts, pa.large_binary()).cast(pa.large_string())
