@@ -48,6 +48,18 @@ def test_clean_prose_stays_as_it_is(spark):
     assert sorted(map(tuple, Q.clean(docs).collect())) == sorted(map(tuple, docs.collect()))
 
 
+def test_phrases_are_whole_words_and_a_good_part_of_the_line(spark):
+    lines = {"The design upgrade took nine months and was spread more evenly than planned.": False,
+             "Last winter I read more books than in all of the years before it.": False,
+             "Sign up now to read more.": True, "Cookie policy, privacy policy and terms of use.": True, "All rights reserved.": True,
+             "© 2020 The Long Name Of Some Publishing House And Its Many Partners, all rights reserved.": True,
+             "Copyright 2020 by the long name of some publishing house and its partners, all rights reserved.": True}
+    docs = spark.createDataFrame([(line,) for line in lines], "text string")
+    assert {r["text"]: r["bad"] for r in docs.select("text", Q.line_fails(docs["text"]).alias("bad")).collect()} == lines
+    kept = Q.clean(docs).collect()
+    assert [r["text"] for r in kept] == [line for line, bad in lines.items() if not bad]
+
+
 def test_labels_of_low_quality_are_rejected(spark):
     labels = table(spark, "/root/testdata/sf0.01", "labels")
     x = Q.op9_quality_rules(spark, "/root/testdata/sf0.01").join(labels, "doc_id")

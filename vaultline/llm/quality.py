@@ -7,7 +7,8 @@ Line rules (a line without a word never fails and is kept as it is):
 * navigation: at least 3 separators (``| > » ·``), and one for every 3 words or more;
 * symbols: characters of ``[#*$%&|<>]`` are more than a tenth of the line's word characters;
 * punctuation: at most 3 words and no sentence end, or more than a third of its word characters are ``.,;:!?-_=~``;
-* boilerplate: a known phrase in a line of at most 30 words, or the line equals an earlier line.
+* boilerplate: in a line of at most 30 words, known phrases as whole words that make up a third of the line's words or
+  stand with another sign of page furniture (``©``, "copyright", a separator); or the line equals an earlier line.
 
 A document is rejected if the base rules fail (fewer than ``min_words`` words; more than a fifth of the words
 lie in repeated 5-word windows) or if the failing lines hold more than ``max_lost`` of its words.
@@ -32,6 +33,9 @@ BOILERPLATE = [
     "lorem ipsum", "privacy policy", "read more", "sign up", "subscribe to", "terms of service", "terms of use",
 ]
 
+PHRASE = r"(?U)\b(?:" + "|".join(BOILERPLATE) + r")\b"
+FURNITURE = r"(?U)[©|>»·]|\bcopyright\b|\(c\)"
+
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
@@ -46,7 +50,9 @@ def line_fails(line: Column) -> Column:
     symbols = F.regexp_count(line, F.lit(SYMBOLS)) * 10 > chars
     marks = F.regexp_count(line, F.lit(r"[.,;:!?\-_=~]")) * 3 > chars
     fragment = (n_words <= 3) & ~line.rlike(r"[.!?…。]")
-    phrase = (n_words <= 30) & F.lower(line).rlike("|".join(BOILERPLATE))
+    low = F.lower(line)
+    in_phrases = F.aggregate(F.regexp_extract_all(low, F.lit(PHRASE), F.lit(0)), F.lit(0), lambda a, x: a + F.regexp_count(x, F.lit(WORD)))
+    phrase = F.when((n_words <= 30) & low.rlike(PHRASE), (in_phrases * 3 >= n_words) | low.rlike(FURNITURE)).otherwise(False)
     return (n_words > 0) & (navigation | symbols | marks | fragment | phrase)
 
 
