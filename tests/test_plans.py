@@ -56,3 +56,11 @@ def test_no_broadcast_hints_in_library():
         text = p.read_text()
         assert "broadcast(" not in text, p
         assert "localCheckpoint" not in text, p
+
+
+def test_user_activity_join_counts_the_joined_rows(spark):
+    from tools.check_oracle import duck, rows_of
+    from vaultline.plans import registry
+    got = registry.queries()["user_activity_join"](spark, SF_SMALL)
+    assert "Join" in plan_of(got)
+    assert rows_of(got.toPandas()) == rows_of(duck(SF_SMALL).sql(registry.oracle_sql()["user_activity_join"]).df())

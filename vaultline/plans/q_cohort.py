@@ -102,8 +102,8 @@ def q_cohort_revenue(spark, sf_dir):
 SELECT began AS cohort_month, count(*) AS orders_in_window, count(DISTINCT buyer) AS users
 FROM aged WHERE {_IN} GROUP BY began""")
 def q_user_activity_join(spark, sf_dir):
-    """E1, counted: orders of each cohort within its window, from the monthly aggregate."""
-    return C.orders_in_window(_months(spark, sf_dir))
+    """E1, counted: orders of each cohort within its window, from the row-level join."""
+    return C.orders_in_window(C.user_activity(cohort_orders(spark, sf_dir)))
 
 
 @register("cohort_window_filter", _AGED + f"""
