@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import dartminhash, decontaminate, lm, mixing, pii, quality, superkmer, toollink, toxicity, warc
+from . import dartminhash, decontaminate, lm, mixing, pii, pivotal, quality, superkmer, toollink, toxicity, warc
 
 QUERIES = {
     "op1_kneser_ney": lm.op1_kneser_ney,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op10_warc": warc.op10_warc,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op11_spelling_variants": pivotal.op11_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
@@ -24,6 +25,7 @@ ORACLES: dict[str, str] = {
     "op6_substring_dedup": superkmer.ORACLE,
     "op7_tool_links": toollink.ORACLE,
     "op10_warc": warc.ORACLE,
+    "op11_spelling_variants": pivotal.ORACLE,
 }
 
 
