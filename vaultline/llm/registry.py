@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import dartminhash, decontaminate, lm, mixing, pii, pivotal, quality, superkmer, toollink, toxicity, warc
+from . import (dartminhash, decontaminate, lm, merkle, mixing, pii, pivotal, quality, superkmer, template, toollink, toxicity,
+               warc)
 
 QUERIES = {
     "op1_kneser_ney": lm.op1_kneser_ney,
@@ -18,6 +19,8 @@ QUERIES = {
     "op10_warc": warc.op10_warc,
     "op9_quality_rules": quality.op9_quality_rules,
     "op11_spelling_variants": pivotal.op11_spelling_variants,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_html_extraction": template.op13_html_extraction,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
@@ -26,6 +29,7 @@ ORACLES: dict[str, str] = {
     "op7_tool_links": toollink.ORACLE,
     "op10_warc": warc.ORACLE,
     "op11_spelling_variants": pivotal.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
 
 
