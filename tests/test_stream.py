@@ -1,15 +1,20 @@
 """Stream = batch: the same events in one or several deliveries, with a restart,
 a replayed batch in between, give the same vault tables."""
 
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from vaultline.operators import decode as D
 from vaultline.operators import quality as Q
 from vaultline.plans import feeds
 from vaultline.session import fresh_dir
-from vaultline.sinks.store import VaultStore
+from vaultline.sinks.store import VaultStore, offset_runs
 from vaultline.sources.cdc import read_cdc_batch
-from vaultline.streaming.loader import load_batch, run_available
+from vaultline.streaming.loader import load_batch, load_sources, run_available
 
 TABLES = ["hub_users", "sat_users", "hub_orders", "lnk_orders_users", "sat_orders", "sat_user_status_history"]
 
@@ -57,11 +62,11 @@ def test_replay_of_a_batch_and_a_new_delivery(spark, model):
     _events(spark).write.json(f"{root}/events")
     store = VaultStore(spark, f"{root}/vault", model)
     batch = read_cdc_batch(spark, f"{root}/events")
-    load_batch(batch, 0, model, store)
+    load_batch(batch, 0, model, store, load_id="x")
     before = _snapshot(store)
-    load_batch(batch, 0, model, store)           # redelivery of batch 0
+    load_batch(batch, 0, model, store, load_id="x")           # redelivery of batch 0
     assert _snapshot(store) == before
-    load_batch(batch, 1, model, store)           # same events again as a new batch
+    load_batch(batch, 1, model, store, load_id="x")           # same events again as a new batch
     after = _snapshot(store)
     for t in TABLES:
         if model.target(t).unique_key:
@@ -90,9 +95,9 @@ def test_loads_do_not_touch_each_other(spark, model):
     run_available(spark, model, store, f"{root}/ckpt-b", f"{root}/events")
     again = VaultStore(spark, f"{root}/vault", model)
     assert again.read("hub_users").count() == 52
-    latest = {r["hk_users"]: r["_order"]["load_seq"] for r in again.read("hub_users", keep_order=True).collect()}
+    latest = {r["hk_users"]: r["_order"]["ticket"] for r in again.read("hub_users", keep_order=True).collect()}
     assert sorted(latest.values()) == [1] * 49 + [2] + [4, 4]
-    assert spark.read.json(f"{root}/vault/_loads").count() == 4
+    assert again.ticket("third", 0) == 5 and again.ticket("second", 0) == 2
 
 
 def test_result_does_not_depend_on_the_batches(spark, model):
@@ -102,13 +107,83 @@ def test_result_does_not_depend_on_the_batches(spark, model):
     for n in (1, 3, 10):
         store = VaultStore(spark, f"{fresh_dir(spark, 't-batches')}/vault", model)
         for b in range(n):
-            load_batch(_user_events(spark, rows[b * 60 // n:(b + 1) * 60 // n]), b, model, store)
+            load_batch(_user_events(spark, rows[b * 60 // n:(b + 1) * 60 // n]), b, model, store, load_id="x")
         results.append([sorted(map(tuple, store.read(t).collect()), key=str) for t in ("hub_users", "sat_users")])
     assert results[0] == results[1] == results[2]
     hub = {r[1]: str(r[2]) for r in results[0][0]}  # the last offset's time, not the latest time
     assert hub == {u: max((r[1], r[2]) for r in rows if r[0] == u)[1] for u in hub}
 
 
+def test_loads_without_a_name_keep_their_rows(spark, model):
+    """Two bulk loads and two batches, all by default arguments: no one replaces another's rows."""
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-default')}/vault", model)
+    day = "2024-01-01 00:00:00"
+    users = lambda names: D.decode_topic(_user_events(spark, [(u, i, day, "a") for i, u in enumerate(names)]), model.source("users"))
+    first = load_sources({"users": users("abcde")}, 0, model, store)
+    second = load_sources({"users": users("xyz")}, 0, model, store)
+    for u in ("p", "q"):
+        load_batch(_user_events(spark, [(u, 0, day, "a")]), 0, model, store)
+    assert first.load_id != second.load_id and (first.ticket, second.ticket) == (1, 2)
+    assert store.read("hub_users").count() == 10
+    load_sources({"users": users("xy")}, 0, model, store, load_id=second.load_id)  # a replay by name
+    assert store.read("hub_users").count() == 9
+
+
+def test_a_replay_leaves_nothing_of_its_first_attempt(spark, model):
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-again')}/vault", model)
+    name = "load: 1/ä %"
+    one = _user_events(spark, [("u1", 1, "2024-01-01 00:00:00", "a")])
+    load_batch(one, 0, model, store, load_id=name)
+    load_batch(one.where("false"), 0, model, VaultStore(spark, store.root, model), load_id=name)
+    assert store.read("hub_users").count() == 0
+
+
+def test_tickets(spark, model):
+    """No number twice, none skipped; a name keeps its number; several drivers on one vault."""
+    root = f"{fresh_dir(spark, 't-tickets')}/vault"
+    stores = [VaultStore(spark, root, model) for _ in range(4)]
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda i: stores[i % 4].ticket(f"load {i % 5}/x", i), range(40)))
+    assert sorted(got) == list(range(1, 41))
+    late = VaultStore(spark, root, model)
+    assert [late.ticket(f"load {i % 5}/x", i) for i in range(40)] == got
+    assert late.ticket("new", 0) == 41
+
+
+def _offsets_of(events):
+    return sorted(r["offset"] for r in events.select("offset").collect())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_offsets_are_loaded_once(spark, model, seed):
+    """Random batches with gaps, overlaps, repeats and two partitions, against a set of what was seen."""
+    rng = random.Random(seed)
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-offsets')}/vault", model)
+    seen = set()
+    for b in range(6):
+        start = rng.choice([0, 4090, 9000])
+        ids = [(rng.randint(0, 1), start + rng.randint(0, 40)) for _ in range(rng.randint(1, 60))]
+        df = spark.createDataFrame([("t", p, o) for p, o in ids], "topic string, partition int, offset long")
+        runs = offset_runs(df)
+        got = store.unseen(df, runs, "f", "load", b)
+        assert sorted((r["partition"], r["offset"]) for r in got.collect()) == sorted(x for x in ids if x not in seen)
+        assert store.unseen(df, runs, "another feed", "load", b).count() == len(ids)
+        store.write_offsets(runs, "f", "load", b)
+        assert store.unseen(df, runs, "f", "load", b).count() == len([x for x in ids if x not in seen])  # a replay
+        seen |= set(ids)
+    covered = {(r["partition"], o) for r in store.loaded_offsets("f").collect() for o in range(r["lo"], r["hi"] + 1)}
+    assert covered == seen
+
+
+def test_redelivery_is_counted(spark, model):
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-again')}/vault", model)
+    rows = [(f"u{i}", i, "2024-01-01 00:00:00", "a") for i in range(10)]
+    assert load_batch(_user_events(spark, rows[:6]), 0, model, store, feed="f")["redelivered"] == 0
+    again = load_batch(_user_events(spark, rows[3:] + rows[7:9]), 0, model, store, feed="f")
+    assert again["redelivered"] == 5 and again["events:users"] == 4
+    assert store.read("hub_users").count() == 10
+
+
 def test_one_bad_event_does_not_stop_the_load(spark, model):
     users = "user_service.public.users"
     vals = ['{"after": {"user_external_id": "ok"}}', '{"after": {"user_external_id": "far", "registration_date": 9223372036854775807}}',
@@ -177,7 +252,6 @@ def test_skip_counters(spark, model):
 def test_bulk_load_matches_model_driven_counts(spark, model):
     """load_sources writes exactly the rows model_driven_load reports, per table."""
     import __spark_entry__ as E
-    from vaultline.streaming.loader import load_sources
     store = VaultStore(spark, f"{fresh_dir(spark, 't-bulk')}/vault", model)
     metrics = load_sources({n: f(spark, SF_SMALL) for n, f in feeds.DECODED_FEEDS.items()}, 0, model, store)
     want = {r["vault_table"]: r["row_count"] for r in E.queries()["model_driven_load"](spark, SF_SMALL).collect()}

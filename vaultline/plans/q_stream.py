@@ -111,8 +111,8 @@ def q_replay_idempotent(spark, sf_dir):
     root, store = _setup(spark, "replay")
     _deliver(feeds.status_history_json(spark, sf_dir), f"{root}/events")
     batch = read_cdc_batch(spark, f"{root}/events")
-    load_batch(batch, 0, store.model, store)
-    load_batch(batch, 0, store.model, store)
+    load_batch(batch, 0, store.model, store, load_id="history")
+    load_batch(batch, 0, store.model, store, load_id="history")
     return store.read("sat_user_status_history").select("hk_users", "load_dt", "new_status")
 
 
@@ -127,11 +127,61 @@ GROUP BY hk_users, user_external_id""")
 def q_bulk_then_stream(spark, sf_dir):
     """A snapshot as a bulk load, then live changes as a stream, both starting at batch 0 of one vault."""
     root, store = _setup(spark, "bulk-stream")
-    load_sources({"users": feeds.users_decoded(spark, sf_dir)}, 0, store.model, store)
+    bulk = load_sources({"users": feeds.users_decoded(spark, sf_dir)}, 0, store.model, store)
     _deliver(feeds.user_changes_json(spark, sf_dir), f"{root}/events")
     run_available(spark, store.model, store, f"{root}/_checkpoint", f"{root}/events")
     hub = store.read("hub_users", keep_order=True)
-    return hub.withColumn("changed", F.col("_order.load_id") != "bulk").drop("_order")
+    return hub.withColumn("changed", F.col("_order.load_id") != bulk.load_id).drop("_order")
+
+
+#: Three loads of two batches: batch (event_id // 7 % 2) of load (event_id % 3), loaded in this order.
+_DEALT = "(event_id % 3 * 2 + event_id // 7 % 2)"
+_ARRIVALS = [("a", 0), ("b", 0), ("a", 1), ("c", 0), ("c", 1), ("b", 1)]
+
+
+def _batch_of(ev: DataFrame, load: str, batch: int) -> DataFrame:
+    dealt = F.col("offset") % 3 * 2 + F.floor(F.col("offset") / 7) % 2
+    return ev.where(dealt == "abc".index(load) * 2 + batch)
+
+
+_TICKETS = "CASE " + " ".join(f"WHEN {_DEALT} = {'abc'.index(x) * 2 + b} THEN {i + 1}" for i, (x, b) in enumerate(_ARRIVALS)) + " END"
+
+
+@register("interleaved_loads", f"""
+SELECT md5(CAST(user_id AS VARCHAR)) AS hk_users, arg_max({TS_MS}, (ticket, event_id)) AS load_dt, MIN({TS_MS}) AS first_load_dt,
+       MAX(ticket) AS ticket, arg_max(event_id, (ticket, event_id)) AS arrival
+FROM (SELECT *, {_TICKETS} AS ticket FROM events WHERE event_type <> 'error') GROUP BY user_id""")
+def q_interleaved_loads(spark, sf_dir):
+    """Three loads whose batches alternate, record times out of order: a user's last arrival wins, also after a batch
+    in the middle (b 0) and one by another driver (c 0) are replayed."""
+    root, store = _setup(spark, "interleaved")
+    ev = feeds.user_changes_json(spark, sf_dir)
+    for load, batch in _ARRIVALS:
+        load_batch(_batch_of(ev, load, batch), batch, store.model, store, load_id=load)
+        if (load, batch) == ("a", 1):
+            load_batch(_batch_of(ev, "b", 0), 0, store.model, store, load_id="b")
+    other = VaultStore(spark, store.root, store.model)
+    load_batch(_batch_of(ev, "c", 0), 0, store.model, other, load_id="c")
+    return other.read("hub_users", keep_order=True).select(
+        "hk_users", "load_dt", "first_load_dt", F.col("_order.ticket").alias("ticket"), F.col("_order.offset").alias("arrival"))
+
+
+@register("redelivered_history", f"""
+SELECT md5(CAST(user_id AS VARCHAR)) AS hk_users, {TS_MS} AS load_dt, event_type AS new_status, COUNT(*) AS n
+FROM events WHERE event_type <> 'error' GROUP BY ALL""")
+def q_redelivered_history(spark, sf_dir):
+    """One topic read by three loads: a stream that stops half-way, a backfill of a stretch that begins in the middle of
+    what the stream has seen, and the whole topic from its start under a new checkpoint, some files of it twice.  The
+    history has every event once."""
+    root, store = _setup(spark, "redelivered")
+    ev = feeds.status_history_json(spark, sf_dir)
+    _deliver(ev.where("offset % 5 < 2"), f"{root}/first")
+    run_available(spark, store.model, store, f"{root}/_checkpoint-a", f"{root}/first", feed="statuses")
+    load_batch(ev.where("offset % 5 in (1, 2)"), 0, store.model, store, load_id="backfill", feed="statuses")
+    _deliver(ev, f"{root}/all")
+    _deliver(ev.where("offset % 11 = 0"), f"{root}/all")
+    run_available(spark, store.model, store, f"{root}/_checkpoint-b", f"{root}/all", feed="statuses", max_files_per_trigger=3)
+    return store.read("sat_user_status_history").groupBy("hk_users", "load_dt", "new_status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("batch_metrics", """
