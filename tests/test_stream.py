@@ -234,6 +234,22 @@ def test_bucketed_lookup_prunes_buckets(spark, model):
     assert [r["user_external_id"] for r in hit.collect()] == ["42"]
 
 
+def test_bucketed_tables_join_without_an_exchange(spark, model):
+    from vaultline.plans.q_stream import bucketed_versions
+    root = fresh_dir(spark, "t-bucket-join")
+    store = VaultStore(spark, f"{root}/vault", model)
+    load_sources({"users": feeds.users_decoded(spark, SF_SMALL)}, 0, model, store)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = bucketed_versions(store, root, 6)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    assert plan.count("SelectedBucketsCount: 6 out of 6") == 2 or plan.count("Bucketed: true") == 2
+    assert df.where("versions = 1").count() == df.count() == 150
+
+
 def test_skip_counters(spark, model):
     root = fresh_dir(spark, "t-skips")
     t = "user_service.public.user_addresses"

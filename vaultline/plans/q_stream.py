@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from ..operators.decode import record_time_utc
 from ..session import fresh_dir
 from ..sinks.store import VaultStore
 from ..sources.cdc import read_cdc_batch
+from ..sources.snapshot import ChunkedSnapshot, at_offset, chunk_bounds, merged_rows
 from ..streaming.loader import load_batch, load_sources, run_available
 from . import feeds
+from . import marketplace as M
 from .registry import register
 
 # Arrival boundary used to split the change stream into two deliveries.
@@ -184,6 +188,75 @@ def q_redelivered_history(spark, sf_dir):
     return store.read("sat_user_status_history").groupBy("hk_users", "load_dt", "new_status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("snapshot_meets_changes", """
+SELECT u.user_external_id, CASE WHEN e.user_id IS NULL THEN first_name END AS first_name, coalesce(e.status, u.status) AS status
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS user_external_id, c_custkey AS id, c_name AS first_name, c_mktsegment AS status FROM customer
+      UNION ALL SELECT CAST(user_id AS VARCHAR), user_id, NULL, NULL FROM (SELECT DISTINCT user_id FROM events)
+      WHERE user_id NOT IN (SELECT c_custkey FROM customer)) u
+LEFT JOIN (SELECT user_id, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id) e ON e.user_id = u.id
+WHERE e.status IS DISTINCT FROM 'error'""")
+def q_snapshot_meets_changes(spark, sf_dir):
+    """Users read in four chunks while their changes (a delete is an 'error') arrive before, between and after the marks
+    of each; the merged feed ends in the final state of the source.
+
+    The source as of a log position is the customers with the events up to it; each look at the log finds it longer.
+    """
+    users = M.users_rows(spark, sf_dir).withColumn("id", F.col("user_external_id").cast("bigint"))
+    log = M.status_change_rows(spark, sf_dir).select(
+        F.col("event_id").alias("offset"), F.col("user_external_id").cast("bigint").alias("id"), "user_external_id",
+        F.lit(None).cast("string").alias("first_name"), F.col("new_status").alias("status"), "is_delete")
+    columns = ["id", "user_external_id", "first_name", "status"]
+    end = log.agg(F.max("offset")).first()[0] or 0
+    clock = iter(range(1, 100))
+    now = [0]
+
+    def log_end() -> int:
+        now[0] = end * next(clock) // 14
+        return now[0]
+
+    def state(at: int) -> DataFrame:
+        rows = users.select(*columns, F.lit(-1).cast("bigint").alias("offset"), F.lit(False).alias("is_delete")) \
+            .unionByName(log.where(F.col("offset") <= at).select(*columns, "offset", "is_delete"))
+        return _last(rows, "offset")
+
+    def _last(rows: DataFrame, order: str) -> DataFrame:
+        top = rows.groupBy("id").agg(F.max_by(F.struct(*columns, "is_delete"), order).alias("r"))
+        return top.where(~F.col("r.is_delete")).select(*[F.col(f"r.{c}").alias(c) for c in columns])
+
+    def read(lower, upper) -> DataFrame:
+        rows = state(end * next(clock) // 14)  # the chunk shows what came while it was read
+        if lower is not None:
+            rows = rows.where(F.col("id") >= lower)
+        return rows if upper is None else rows.where(F.col("id") < upper)
+    snapshot = ChunkedSnapshot(spark, fresh_dir(spark, "snapshot"), chunk_bounds(users, "id", 4), read, log_end)
+    snapshot.run()
+    feed = merged_rows(snapshot, log, "id").select(*columns, "position", F.lit(False).alias("is_delete")) \
+        .unionByName(log.select(*columns, at_offset(F.col("offset")).alias("position"), "is_delete"))
+    return _last(feed, "position").select("user_external_id", "first_name", "status")
+
+
+@register("bucketed_join", """
+SELECT md5(CAST(c_custkey AS VARCHAR)) AS hk_users, CAST(c_custkey AS VARCHAR) AS user_external_id, 1 + COALESCE(n, 0) AS versions
+FROM customer LEFT JOIN (SELECT user_id, COUNT(DISTINCT event_type) AS n FROM events WHERE event_type <> 'error' GROUP BY 1) e
+ON e.user_id = c_custkey
+UNION ALL
+SELECT md5(CAST(user_id AS VARCHAR)), CAST(user_id AS VARCHAR), COUNT(DISTINCT event_type) FROM events
+WHERE event_type <> 'error' AND user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY 1, 2""")
+def q_bucketed_join(spark, sf_dir):
+    """B8: users and their satellite, both written in buckets of the hash key, joined and counted by it bucket by bucket."""
+    root, store = _setup(spark, "buckets")
+    load_sources({"users": feeds.users_decoded(spark, sf_dir)}, 0, store.model, store)
+    load_sources({"users": feeds.user_changes_decoded(spark, sf_dir)}, 0, store.model, store)
+    return bucketed_versions(store, root, buckets=8)
+
+
+def bucketed_versions(store: VaultStore, root: str, buckets: int) -> DataFrame:
+    tag = uuid.uuid4().hex[:8]
+    hub = store.write_bucketed("hub_users", f"hub_users_{tag}", f"{root}/hub_users_by_key", buckets)
+    sat = store.write_bucketed("sat_users", f"sat_users_{tag}", f"{root}/sat_users_by_key", buckets)
+    return hub.join(sat, "hk_users").groupBy("hk_users", "user_external_id").agg(F.count(F.lit(1)).alias("versions"))
+
+
 @register("batch_metrics", """
 SELECT k AS vault_table, n AS rows FROM (
   SELECT 'events:users' AS k, COUNT(*) AS n FROM events
