@@ -1,10 +1,14 @@
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tools.check_oracle import duck, rows_of
 from vaultline.llm import superkmer as K
 from vaultline.llm.common import table
+from vaultline.llm.textarrays import NOT_SPACE, words_of
 
 from ..conftest import SF_SMALL
 from . import cases
@@ -15,20 +19,19 @@ def test_query_equals_sql(spark):
 
 
 def expected(rows, size=20):
-    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
-    ids = [-1 if d is None else d for d, _ in rows]
+    """rows: (doc_id, text, what orders rows of one id); rows equal in all three are one document."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t, _ in rows]
+    ids = [(-(1 << 63) if d is None else d, u) for d, _, u in rows]
     first = {}
     for d, w in zip(ids, words):
         for p in range(len(w) - size + 1):
             k = tuple(w[p:p + size])
             first[k] = min(first.get(k, (d, p)), (d, p))
-    gone = {}  # by document: rows of one id are one document
-    for d, w in zip(ids, words):
-        for p in range(len(w) - size + 1):
-            if first[tuple(w[p:p + size])] < (d, p):
-                gone.setdefault(d, set()).update(range(p, p + size))
-    return sorted((r[0], len(w), sum(i in gone.get(d, ()) for i in range(len(w))),
-                   " ".join(x for i, x in enumerate(w) if i not in gone.get(d, ()))) for r, d, w in zip(rows, ids, words))
+    out = []
+    for r, d, w in zip(rows, ids, words):
+        gone = {i for p in range(len(w) - size + 1) if first[tuple(w[p:p + size])] < (d, p) for i in range(p, p + size)}
+        out.append((r[0], len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return sorted(out, key=str)
 
 
 def got(docs):
@@ -37,15 +40,54 @@ def got(docs):
 
 def compare(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert got(docs) == sorted(expected(rows), key=str)
+    order = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit("")))).collect()
+    assert got(docs) == expected(list(map(tuple, order)))
 
 
 def test_edges(spark):
     docs = cases.edge_documents(spark)
-    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None]
-    compare(spark, rows)
+    compare(spark, [(r["doc_id"], r["text"]) for r in docs.collect()])
     assert got(cases.no_documents(spark)) == []
-    assert len(got(docs)) == docs.count()
+
+
+@pytest.mark.parametrize("deal", [1, 7])
+def test_rows_of_one_id_are_documents_of_their_own(spark, monkeypatch, deal):
+    """Different texts under one id or none, long and short, between neighbours whose words must stay; with buckets
+    dealt by a second minimiser as well."""
+    if deal > 1:
+        monkeypatch.setattr(K, "HEAVY", 1)
+        monkeypatch.setattr(K, "BUCKET", 1500)
+    p, s, u = cases.prose(25, 1), cases.prose(22, 2), cases.prose(50, 3)
+    rows = [(1, cases.prose(30, 4)), (5, p + " " + s), (5, "a"), (9, cases.prose(60, 5)), (5, u), (5, p + " " + s), (2, s),
+            (None, p + " x " + u), (None, "b"), (None, cases.prose(90, 6)), (None, None), (12, u + " " + p), (5, "")]
+    for k in range(3):
+        compare(spark, rows[k:] + rows[:k])
+
+
+def test_a_minimiser_of_a_third_of_all_windows_is_dealt_out(spark, monkeypatch):
+    """One word pair stands in a third of all windows: packed strings of its bucket come to many groups."""
+    rows = [(i, " ".join(f"w{i}x{j}" if j % 20 > 1 else f"hot{j % 20}" for j in range(100))) for i in range(60)]
+    rows += [(100 + i, cases.prose(220, 50 + i)) for i in range(55)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("sub"), F.col("text").alias("_t"))
+    pair = words_of(None, pa.array(["hot0 hot1"]), NOT_SPACE, False).hashes()
+    heavy = np.ones(1 << K.CELL_BITS, bool)  # so that the pair comes before all others
+    heavy[int(K._pairs(pair, np.zeros(2))[0][0] >> np.uint64(64 - K.CELL_BITS))] = False
+    light = spark.sparkContext.broadcast(heavy)
+    def largest(deal):
+        packs = docs.coalesce(1).mapInArrow(K._packs(light, 20, 64, deal), "grp int, known boolean, blob binary")
+        return max(sum(len(K._unblob(r["blob"])[3]) // 4 for r in g) for g in by_group(packs.collect()))
+    assert largest(16) < largest(1) / 2
+    monkeypatch.setattr(K, "BUCKET", 1)
+    compare(spark, rows)
+
+
+def by_group(rows):
+    out = {}
+    for r in rows:
+        if not r["known"]:
+            out.setdefault(r["grp"], []).append(r)
+    return out.values()
 
 
 @pytest.mark.parametrize("remembered", [1, 1 << 18])

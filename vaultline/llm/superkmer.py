@@ -12,11 +12,14 @@ a repeated window is removed.
   repeated at once.  So a passage that millions of documents share reaches its bucket once from each task.
 * Of a packed string's places only the first is compared with others; all later ones are repeated as a whole.
 * Packed strings travel by groups of buckets, compressed together: they overlap by a window less a word.
+* A minimiser's windows, at most 1/``HEAVY`` of all, are dealt to as many buckets as keep them below about ``BUCKET``
+  windows, by a second minimiser over word triples.
 * What tasks get of the corpus's counts is a bitmap of ``2 ** CELL_BITS`` bits.
 
-Defined cases: null = empty text = no words; a text of fewer than ``WINDOW`` words loses nothing; rows with equal
-doc_id are one document (windows at the same start do not repeat each other); a null id is the smallest; extra
-columns pass through; an empty table gives an empty result.
+Defined cases: null = empty text = no words; a text of fewer than ``WINDOW`` words loses nothing; a null id is the
+smallest; rows with one id are documents of their own, in the order of their texts' hashes; rows equal in id and text
+are one document that stands there several times, and are judged alike; extra columns pass through; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,12 +41,14 @@ HEAVY = 1 << 13
 #: Windows in one packed string at most, and packed strings that a task remembers at a time.
 LONGEST = 256
 REMEMBERED = 1 << 18
+#: Windows of a bucket, about.
+BUCKET = 1 << 22
 #: Bytes of packed strings that a task holds before it passes them on; groups of buckets for each shuffle partition.
 HELD = 24 << 20
 GROUPS = 8
 NO_ID = -(1 << 63)
 PACKED = pa.schema([("grp", pa.int32()), ("known", pa.bool_()), ("blob", pa.binary())])
-RANGES = pa.schema([("id", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
+RANGES = pa.schema([("id", pa.int64()), ("sub", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
 
 def _pairs(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,23 +102,23 @@ def _passed_on(packs: list[tuple], known: list, groups: int) -> pa.RecordBatch:
     """A row for each group of buckets with its packed strings, and one with the ranges known to be repeated."""
     rows = []
     if packs:
-        key, ids, start, length = (np.array([p[i] for p in packs], t) for i, t in ((0, U64), (2, np.int64), (3, np.int32), (4, np.int32)))
+        key, ids, subs, start, length = (np.array([p[i] for p in packs], t) for i, t in (
+            (0, U64), (2, np.int64), (3, np.int64), (4, np.int32), (5, np.int32)))
         group = (key % U64(groups)).astype(np.int32)
         order = np.lexsort((key, group))
         edge = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
         for i, j in zip(edge[:-1], edge[1:]):
             own = order[i:j]
-            rows.append((int(group[own[0]]), False, _blob(ids[own], start[own], length[own], b"".join([packs[k][1] for k in own]))))
+            rows.append((int(group[own[0]]), False, _blob(ids[own], subs[own], start[own], length[own], b"".join([packs[k][1] for k in own]))))
     if known:
-        ids, a, e = zip(*known)
-        ids = np.array(ids, np.int64)
-        rows.append((int(ids[0] % groups), True, _blob(ids, np.array(a, np.int32), np.array(e, np.int32))))
+        ids, subs, a, e = (np.array(c, t) for c, t in zip(zip(*known), (np.int64, np.int64, np.int32, np.int32)))
+        rows.append((int(ids[0] % groups), True, _blob(ids, subs, a, e)))
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(PACKED)], schema=PACKED)
 
 
-def _packs(heavy, window: int, groups: int):
+def _packs(heavy, window: int, groups: int, deal: int):
     def run(batches):
-        met: dict[bytes, tuple[int, int]] = {}
+        met: dict[bytes, tuple[int, int, int]] = {}
         out: list[tuple] = []
         known: list[list[int]] = []
         held = 0
@@ -129,6 +134,9 @@ def _packs(heavy, window: int, groups: int):
             if not len(good):
                 continue
             value, row = least[good], b.row[good]
+            if deal > 1:
+                triples = mix(x[:-1] * U64(0xFF51AFD7ED558CCD) + x[1:])  # least over those of each window
+                value = mix(value + _least(triples, window - 2)[good] % U64(deal))
             new = np.ones(len(good), bool)
             new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
             at = np.flatnonzero(new)
@@ -141,21 +149,21 @@ def _packs(heavy, window: int, groups: int):
                 at = start
             joined, place = b.joined()
             first = good[at]
-            ids = np.asarray(b.rows.column("id"))[b.row[first]]
+            ids, subs = (np.asarray(b.rows.column(c))[b.row[first]].tolist() for c in ("id", "sub"))
             offset = first - b.first[b.row[first]]
             lo, hi = place[first].tolist(), (place[first + runs + window - 1] - 1).tolist()
-            for k, i, j, d, a, w in zip(mix(value[at]).tolist(), lo, hi, ids.tolist(), offset.tolist(), (runs + window - 1).tolist()):
+            for k, i, j, d, s, a, w in zip(mix(value[at]).tolist(), lo, hi, ids, subs, offset.tolist(), (runs + window - 1).tolist()):
                 pack = joined[i:j]
                 name = xxhash.xxh3_128_digest(pack)
                 before = met.get(name)
-                if before is None or (d, a) <= before:
-                    met[name] = (d, a)
-                    out.append((k, pack, d, a, j - i))
+                if before is None or (d, s, a) <= before:
+                    met[name] = (d, s, a)
+                    out.append((k, pack, d, s, a, j - i))
                     held += j - i
-                elif known and known[-1][0] == d and known[-1][1] <= a <= known[-1][2]:
-                    known[-1][2] = max(known[-1][2], a + w)
+                elif known and known[-1][:2] == [d, s] and known[-1][2] <= a <= known[-1][3]:
+                    known[-1][3] = max(known[-1][3], a + w)
                 else:
-                    known.append([d, a, a + w])
+                    known.append([d, s, a, a + w])
             if len(met) > REMEMBERED:
                 met.clear()
             if held > HELD or len(known) > REMEMBERED:
@@ -165,29 +173,29 @@ def _packs(heavy, window: int, groups: int):
     return run
 
 
-def _repeated(packs: list[bytes], ids: list[int], starts: list[int], window: int) -> list[tuple[int, int, int]]:
+def _repeated(packs: list[bytes], places: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
     """Ranges of words in repeated windows, for packed strings with whole buckets among them."""
-    first: dict[bytes, tuple[int, int]] = {}
-    for p, d, a in zip(packs, ids, starts):
-        if p not in first or (d, a) < first[p]:
-            first[p] = (d, a)
+    first: dict[bytes, tuple[int, int, int]] = {}
+    for p, at in zip(packs, places):
+        if p not in first or at < first[p]:
+            first[p] = at
     own = list(first)
     b = words_of(None, pa.array(own, pa.binary()).cast(pa.large_binary()).cast(pa.large_string()), NOT_SPACE, False)
-    n = np.diff(b.first)
-    out = [(d, a, a + int(k)) for p, d, a, k in _later(packs, ids, starts, first, dict(zip(own, n.tolist())))]
+    n = dict(zip(own, np.diff(b.first).tolist()))
+    out = [(*at, at[2] + n[p]) for p, at in zip(packs, places) if first[p] < at]
     h = b.hashes()
     up, down = _powers()
-    hashes, places = [], []
+    hashes, where = [], []
     for i in range(0, len(h), SEGMENT - window):  # sums of hashes times powers, in stretches that overlap by a window
         part = h[i:i + SEGMENT]
         sums = np.concatenate([np.zeros(1, U64), np.cumsum(part * up[:len(part)], dtype=U64)])
         m = min(len(part) - window + 1, SEGMENT - window)
         if m > 0:
             hashes.append((sums[window:window + m] - sums[:m]) * down[:m])
-            places.append(np.arange(i, i + m))
+            where.append(np.arange(i, i + m))
     if not hashes:
         return out
-    value, place = np.concatenate(hashes), np.concatenate(places)
+    value, place = np.concatenate(hashes), np.concatenate(where)
     ok = b.row[place] == b.row[place + window - 1]
     value, place = value[ok], place[ok]
     order = np.argsort(value, kind="stable")
@@ -197,60 +205,52 @@ def _repeated(packs: list[bytes], ids: list[int], starts: list[int], window: int
     twin[:-1] |= twin[1:]
     value, place = value[twin], place[twin]
     row = b.row[place]
-    where = np.array([first[p] for p in own], np.int64).reshape(-1, 2)
-    doc, start = where[row, 0], where[row, 1] + place - b.first[row]
-    order = np.lexsort((start, doc, value))
+    begin = np.array([first[p] for p in own], np.int64).reshape(-1, 3)
+    doc, sub, start = begin[row, 0], begin[row, 1], begin[row, 2] + place - b.first[row]
+    order = np.lexsort((start, sub, doc, value))
     last, met = None, {}
-    again: list[list[int]] = []
-    for v, p, d, s in zip(value[order].tolist(), place[order].tolist(), doc[order].tolist(), start[order].tolist()):
+    again: list[tuple[int, int, int]] = []
+    for v, p, *at in zip(*(x[order].tolist() for x in (value, place, doc, sub, start))):
         if v != last:
             last, met = v, {}
         words = b.words(p, p + window)  # words in a packed string stand one space apart
         if words not in met:
-            met[words] = (d, s)
-        elif met[words] < (d, s):
-            again.append([d, s, s + window])
-    again.sort()
-    for d, s, e in again:
-        if out and out[-1][0] == d and out[-1][1] <= s <= out[-1][2]:
-            out[-1] = (d, out[-1][1], max(e, out[-1][2]))
+            met[words] = at
+        elif met[words] < at:
+            again.append(tuple(at))
+    for d, u, s in sorted(again):
+        if out and out[-1][:2] == (d, u) and out[-1][2] <= s <= out[-1][3]:
+            out[-1] = (d, u, out[-1][2], max(out[-1][3], s + window))
         else:
-            out.append((d, s, e))
+            out.append((d, u, s, s + window))
     return out
 
 
-def _later(packs, ids, starts, first, n):
-    for p, d, a in zip(packs, ids, starts):
-        if first[p] < (d, a):
-            yield p, d, a, n[p]
-
-
 def _buckets(window: int):
     """Rows come sorted by group; a group is worked on as a whole."""
     def ranges(columns):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, RANGES)], schema=RANGES)
 
-    def found(packs, ids, starts):
-        return ranges(list(zip(*_repeated(packs, ids, starts, window))) or [[], [], []])
+    def found(packs, places):
+        return ranges(list(zip(*_repeated(packs, places, window))) or [[], [], [], []])
 
     def run(batches):
-        packs, ids, starts, last = [], [], [], None
+        packs, places, last = [], [], None
         for batch in batches:
             for group, known, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 parts = _unblob(blob)
                 if known:
-                    yield ranges([np.frombuffer(p, t) for p, t in zip(parts, (np.int64, np.int32, np.int32))])
+                    yield ranges([np.frombuffer(p, t) for p, t in zip(parts, (np.int64, np.int64, np.int32, np.int32))])
                     continue
                 if group != last and packs:
-                    yield found(packs, ids, starts)
-                    packs, ids, starts = [], [], []
+                    yield found(packs, places)
+                    packs, places = [], []
                 last = group
-                ids += np.frombuffer(parts[0], np.int64).tolist()
-                starts += np.frombuffer(parts[1], np.int32).tolist()
-                at = np.concatenate([[0], np.cumsum(np.frombuffer(parts[2], np.int32), dtype=np.int64)]).tolist()
-                packs += [parts[3][i:j] for i, j in zip(at[:-1], at[1:])]
+                places += zip(*(np.frombuffer(p, t).tolist() for p, t in zip(parts, (np.int64, np.int64, np.int32))))
+                at = np.concatenate([[0], np.cumsum(np.frombuffer(parts[3], np.int32), dtype=np.int64)]).tolist()
+                packs += [parts[4][i:j] for i, j in zip(at[:-1], at[1:])]
         if packs:
-            yield found(packs, ids, starts)
+            yield found(packs, places)
     return run
 
 
@@ -260,6 +260,8 @@ def _kept(batches):
         spans = b.rows.column("ranges").to_pylist()
         for r, found in enumerate(spans):
             for x in found or ():
+                if b.first[r] + x["b"] > b.first[r + 1]:
+                    raise ValueError("a repeated window reaches beyond its text")
                 gone[b.first[r] + x["a"]] += 1
                 gone[b.first[r] + x["b"]] -= 1
         stay = np.cumsum(gone[:-1]) == 0
@@ -287,8 +289,11 @@ def remove_repeats(docs: DataFrame, carry: list[str], window: int = WINDOW) -> D
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.struct(*carry).alias("_doc"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-                       text_of("text").alias("_t"))
+    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    # texts tell rows of one id apart; without such rows nothing more than the id travels
+    shared = not docs.groupBy(ident).count().where("count > 1").isEmpty()
+    sub = F.xxhash64(text_of("text")) if shared else F.lit(0).cast("long")
+    rows = docs.select(F.struct(*carry).alias("_doc"), ident.alias("id"), sub.alias("sub"), text_of("text").alias("_t"))
     cells = rows.select("_t").mapInArrow(_cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     cells = saved(cells, "kmer-cells")
     n = cells.where("cell = -1").agg(F.sum("n")).first()[0] or 0
@@ -297,12 +302,13 @@ def remove_repeats(docs: DataFrame, carry: list[str], window: int = WINDOW) -> D
     bitmap = np.zeros(1 << CELL_BITS, bool)
     bitmap[heavy] = True
     groups = GROUPS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packs = rows.select("id", "_t").mapInArrow(
-        _packs(spark.sparkContext.broadcast(bitmap), window, groups), "grp int, known boolean, blob binary")
-    ranges = packs.repartition("grp").sortWithinPartitions("grp").mapInArrow(_buckets(window), "id bigint, a int, b int")
-    by_doc = ranges.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    deal = -(-n // (HEAVY * BUCKET))
+    packs = rows.select("id", "sub", "_t").mapInArrow(
+        _packs(spark.sparkContext.broadcast(bitmap), window, groups, deal), "grp int, known boolean, blob binary")
+    ranges = packs.repartition("grp").sortWithinPartitions("grp").mapInArrow(_buckets(window), "id bigint, sub bigint, a int, b int")
+    by_doc = ranges.groupBy("id", "sub").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     kind = T.StructType([rows.schema["_doc"]]).add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept", T.StringType())
-    return rows.join(by_doc, "id", "left").select("_doc", "_t", "ranges").mapInArrow(_kept, kind)
+    return rows.join(by_doc, ["id", "sub"], "left").select("_doc", "_t", "ranges").mapInArrow(_kept, kind)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
