@@ -11,7 +11,7 @@ from ..conftest import SF_SMALL
 
 
 def text(source):
-    return T.main_text(source, set(), set())[0]
+    return T.main_text(source, ())[0]
 
 
 def got(spark, rows, kind="page_id long, url string, html string"):

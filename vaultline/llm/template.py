@@ -12,9 +12,9 @@
    footers, adverts, forms, comments) goes as well, unless the article lies in it.
 5. What is left of the article is the text; of the page's body where none is marked.
 
-The pages' tree is built twice, for counting and for the text, instead of being shuffled.  The templates of a host are
-joined to its pages as one value: they are at most a page's subtrees divided by ``SHARE``, but for those outside of
-articles, of which each stands on ``MANY`` pages.
+The pages' tree is built twice, for counting and for the text.  What comes back to a page are the ordinal numbers of its
+own subtrees that are templates, so nothing grows with the templates of its host; the two meet by a hash of the page,
+for which the pages travel once, in blocks that are compressed together.
 
 Defined cases: null = empty html = empty text; a null url, or one without a host, belongs to the host without a name;
 repeated rows are pages with one rest; pages may be of any length or broken anywhere (a tag, comment or script left open
@@ -25,8 +25,10 @@ from __future__ import annotations
 
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +41,12 @@ MANY_WITHIN = 5
 PLAIN = set("p h1 h2 h3 h4 h5 h6 blockquote pre b i em strong span a li ul ol dl dt dd td tr table tbody thead figure figcaption".split())
 #: Named furniture that holds this share of a page's texts is taken for the page itself.
 BULK = 0.5
-KEYS = pa.schema([("host", pa.string()), ("within", pa.bool_()), ("key", pa.int64()), ("rest", pa.int64())])
+SUBTREES = pa.schema([("host", pa.string()), ("within", pa.bool_()), ("key", pa.int64()), ("rest", pa.int64()),
+                      ("page", pa.int64()), ("ordinal", pa.int32())])
 NO_KEY = 0
+#: Bytes of pages that a task holds before it passes them on.
+HELD = 24 << 20
+KEY = ["host", "within", "key"]
 
 
 def host_of(url: Column) -> Column:
@@ -112,41 +118,48 @@ def _rests(page: Page, main: list):
 
 
 def _subtrees(batches):
-    """Each (host, subtree, rest) of the batch once; a host's own rests stand under ``NO_KEY``."""
+    """Each candidate of each page of the batch, repeated pages once; a page's own rest stands under ``NO_KEY``."""
     for batch in batches:
-        out = set()
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+        out, met = [], set()
+        for host, html, name in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "page"))):
+            if name in met:
+                continue
+            met.add(name)
             page = Page(html)
             main = regions(page)
             rest = _rests(page, main)
             own = rest(0, 0)
             if own is not None:
-                out.add((host, False, NO_KEY, own))
-            for e, inside in candidates(page, main):
+                out.append((host, False, NO_KEY, own, name, -1))
+            for i, (e, inside) in enumerate(candidates(page, main)):
                 beside = rest(e.first, e.end)
                 if beside is not None:
-                    out.add((host, inside, _number(e.digest), beside))
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(KEYS)], schema=KEYS)
+                    out.append((host, inside, _number(e.digest), beside, name, i))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(SUBTREES)], schema=SUBTREES)
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def _named(pages: DataFrame) -> list[Column]:
+    """A page's host, html and name (a hash of both: equal pages of a host are alike)."""
+    host, html = host_of(F.col("url")), text_of("html")
+    return [host.alias("host"), html.alias("html"), F.xxhash64(host, html).alias("page")]
+
+
+def templates(subtrees: DataFrame) -> DataFrame:
     """(host, within, key, n) of the subtrees that recur across many of their host's pages; n rests beside them."""
-    rows = pages.select(host_of(F.col("url")).alias("host"), text_of("html").alias("html"))
-    counts = saved(rows.mapInArrow(_subtrees, "host string, within boolean, key bigint, rest bigint")
-                   .groupBy("host", "within", "key").agg(F.count_distinct("rest").alias("n"))
+    counts = saved(subtrees.groupBy(*KEY).agg(F.count_distinct("rest").alias("n"))
                    .where((F.col("key") == NO_KEY) | (F.col("n") >= MANY)), "template-counts")
     hosts = counts.where(F.col("key") == NO_KEY).select("host", F.col("n").alias("rests"))
     return counts.where(F.col("key") != NO_KEY).join(hosts, "host").where(
         ~F.col("within") | (F.col("n") >= F.greatest(F.lit(MANY_WITHIN), F.ceil(SHARE * F.col("rests"))))).drop("rests")
 
 
-def main_text(source: str, outside: set, within: set) -> tuple[str, int]:
-    """The text of a page given its host's templates, and how many subtrees were deleted as templates."""
+def main_text(source: str, ordinals) -> tuple[str, int]:
+    """The text of a page given which of its candidates are templates, and how many subtrees were deleted as such."""
     page = Page(source)
     main = regions(page)
-    gone, deleted, end = [], 0, -1
-    for e, inside in candidates(page, main):
-        if e.first >= end and _number(e.digest) in (within if inside else outside):
+    gone, deleted, end, ordinals = [], 0, -1, set(ordinals)
+    for i, (e, _) in enumerate(candidates(page, main) if ordinals else ()):
+        if e.first >= end and i in ordinals:
             gone.append((e.first, e.end))
             deleted, end = deleted + 1, e.end
     texts = max(page.root.texts, 1)
@@ -158,27 +171,69 @@ def main_text(source: str, outside: set, within: set) -> tuple[str, int]:
     return page.text([(e.first, e.end) for e in main], gone), deleted
 
 
+def _packed(parts: int):
+    """Blocks of the pages that go to one partition, as compressed Arrow batches."""
+    def packed(held):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        part = np.mod(np.asarray(rows.column("page")), parts)
+        order = np.argsort(part, kind="stable")
+        edge = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+        out = []
+        for i, j in zip(edge[:-1], edge[1:]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as stream:
+                stream.write_table(rows.take(pa.array(order[i:j])))
+            out.append((int(part[order[i]]), zstandard.compress(sink.getvalue().to_pybytes(), 3)))
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
+                                          names=["part", "blob"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+            if size > HELD:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+    return run
+
+
 def _extract(batches):
+    """Rows come by partition, the ordinals of its pages before the blocks."""
+    known, last = {}, None
     for batch in batches:
-        out = []
-        for html, keys in zip(batch.column("_html").to_pylist(), batch.column("_keys").to_pylist()):
-            outside, within = set(), set()
-            for k in keys or ():
-                (within if k["within"] else outside).add(k["key"])
-            out.append(main_text(html, outside, within))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("_page"), pa.array([x[0].encode("utf-8", "replace") for x in out], pa.binary()).cast(pa.string()),
-             pa.array([len(x[0]) for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())],
-            names=["_page", "text", "n_chars", "n_templates"])
+        for part, name, ordinals, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "page", "ordinals", "blob"))):
+            if part != last:
+                known, last = {}, part
+            if blob is None:
+                known[name] = ordinals
+                continue
+            for rows in pa.ipc.open_stream(zstandard.decompress(blob)):
+                out = [main_text(html, known.get(name, ())) for html, name in zip(rows.column("html").to_pylist(), rows.column("page").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("_page"), pa.array([x[0].encode("utf-8", "replace") for x in out], pa.binary()).cast(pa.string()),
+                     pa.array([len(x[0]) for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())],
+                    names=["_page", "text", "n_chars", "n_templates"])
 
 
 def extract(pages: DataFrame, carry: list[str]) -> DataFrame:
     """Per row: ``_page`` (its ``carry`` columns), text, n_chars, n_templates (subtrees deleted as the host's template)."""
-    small_batches(pages.sparkSession)
-    known = saved(templates(pages).groupBy("host").agg(F.collect_list(F.struct("within", "key")).alias("_keys")), "templates")
-    rows = pages.select(F.struct(*carry).alias("_page"), text_of("html").alias("_html"), host_of(F.col("url")).alias("host"))
-    kind = f"_page {rows.schema['_page'].dataType.simpleString()}, text string, n_chars bigint, n_templates bigint"
-    return rows.join(known, "host", "left").select("_page", "_html", "_keys").mapInArrow(_extract, kind)
+    spark = pages.sparkSession
+    small_batches(spark)
+    kind = "host string, within boolean, key bigint, rest bigint, page bigint, ordinal int"
+    subtrees = saved(pages.select(*_named(pages)).mapInArrow(_subtrees, kind), "template-subtrees")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = subtrees.join(templates(subtrees).select(*KEY), KEY).groupBy("page").agg(F.collect_set("ordinal").alias("ordinals")) \
+        .select(F.pmod("page", F.lit(n)).cast("int").alias("part"), "page", "ordinals", F.lit(None).cast("binary").alias("blob"))
+    rows = pages.select(F.struct(*carry).alias("_page"), *_named(pages)).drop("host")
+    blocks = rows.mapInArrow(_packed(n), "part int, blob binary").select(
+        "part", F.lit(None).cast("bigint").alias("page"), F.lit(None).cast("array<int>").alias("ordinals"), "blob")
+    out = f"_page {rows.schema['_page'].dataType.simpleString()}, text string, n_chars bigint, n_templates bigint"
+    met = known.unionByName(blocks).repartitionById(n, "part").sortWithinPartitions("part", F.col("blob").isNotNull())
+    return met.mapInArrow(_extract, out)
 
 
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
