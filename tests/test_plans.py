@@ -64,3 +64,10 @@ def test_user_activity_join_counts_the_joined_rows(spark):
     got = registry.queries()["user_activity_join"](spark, SF_SMALL)
     assert "Join" in plan_of(got)
     assert rows_of(got.toPandas()) == rows_of(duck(SF_SMALL).sql(registry.oracle_sql()["user_activity_join"]).df())
+
+
+def test_row_level_cohorts_read_orders_once_for_the_rows(spark):
+    """The per-user side comes from the saved aggregate: orders stand once in the plan (and once in the aggregate's job)."""
+    found = scans(plan_of(C.user_activity(cohort_orders(spark, SF_SMALL))))
+    assert len(found) == 2, found
+    assert sum("o_custkey" in s for s in found) == 1 and sum("cohort_month" in s for s in found) == 1, found

@@ -250,6 +250,33 @@ def test_bucketed_tables_join_without_an_exchange(spark, model):
     assert df.where("versions = 1").count() == df.count() == 150
 
 
+def test_lookups_skip_row_groups_by_bloom_filter(spark, model):
+    """A key that isn't there lies between the smallest and the largest: only the Bloom filter can tell."""
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-bloom')}/vault", model)
+    load_sources({"users": feeds.users_decoded(spark, SF_SMALL)}, 0, model, store)
+
+    def scanned(key):
+        df = store.find("hub_users", [key])
+        n = len(df.collect())
+        plan = df._jdf.queryExecution().executedPlan()
+        plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+        found = []
+
+        def walk(p):
+            p = p.plan() if "QueryStage" in p.nodeName() else p
+            children = p.children()
+            if children.size() == 0 and p.metrics().contains("numOutputRows"):
+                found.append(p.metrics().apply("numOutputRows").value())
+            for i in range(children.size()):
+                walk(children.apply(i))
+        walk(plan)
+        return n, sum(found)
+    there = store.read("hub_users").orderBy("hk_users").offset(70).first()["hk_users"]
+    missing = there[:-1] + ("0" if there[-1] != "0" else "1")
+    assert scanned(there)[0] == 1 and scanned(there)[1] >= 1
+    assert scanned(missing) == (0, 0)
+
+
 def test_skip_counters(spark, model):
     root = fresh_dir(spark, "t-skips")
     t = "user_service.public.user_addresses"

@@ -31,12 +31,12 @@ def _money_text(c: str):
     return to_money(c).cast("string")
 
 
-def cohort_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as the cohort report reads them (user key kept in its native type)."""
+def cohort_orders(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
+    """Orders as the cohort report reads them (user key kept in its native type), and ``extra`` columns."""
     return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("user_external_id"),
         F.col("o_orderdate").alias("order_date"),
-        to_money("o_totalprice").alias("total_amount"),
+        to_money("o_totalprice").alias("total_amount"), *(extra or []),
     )
 
 

@@ -257,6 +257,21 @@ def bucketed_versions(store: VaultStore, root: str, buckets: int) -> DataFrame:
     return hub.join(sat, "hk_users").groupBy("hk_users", "user_external_id").agg(F.count(F.lit(1)).alias("versions"))
 
 
+@register("hash_key_lookup", f"""
+SELECT md5(CAST(user_id AS VARCHAR)) AS hk_users, event_type AS status, arg_max(ts, (event_id % 3, event_id)) AS load_dt FROM events
+WHERE event_type <> 'error' AND user_id IN (SELECT DISTINCT user_id FROM events WHERE event_type <> 'error' ORDER BY user_id LIMIT 2)
+GROUP BY ALL""")
+def q_hash_key_lookup(spark, sf_dir):
+    """D7 by hash key: two users that are there and one that isn't, out of a satellite written by three loads."""
+    root, store = _setup(spark, "lookup")
+    ev = feeds.user_changes_decoded(spark, sf_dir)
+    for k in range(3):
+        load_sources({"users": ev.where(F.col("offset") % 3 == k)}, 0, store.model, store)
+    two = M.table(spark, sf_dir, "events").where("event_type <> 'error'").select("user_id").distinct().orderBy("user_id").limit(2)
+    keys = [r[0] for r in two.select(F.md5(F.col("user_id").cast("string"))).collect()]  # two rows
+    return store.find("sat_users", [*keys, "f" * 32]).select("hk_users", "status", "load_dt")
+
+
 @register("batch_metrics", """
 SELECT k AS vault_table, n AS rows FROM (
   SELECT 'events:users' AS k, COUNT(*) AS n FROM events
