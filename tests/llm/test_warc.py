@@ -67,6 +67,27 @@ def test_broken_archives_are_refused(tmp_path):
             W._rewrite(str(tmp_path / "cut.warc.gz"), str(tmp_path), "new.warc.gz")
 
 
+@pytest.mark.parametrize("kept", [1, 3])
+def test_a_stream_cut_between_two_records_is_refused(tmp_path, kept):
+    """All that can be inflated are whole records, but the stream has no end."""
+    records = [W.record(i, "http://h/", b"payload", W.base32_sha1(b"payload"), None) for i in range(6)]
+    stream = zlib.compressobj(1, zlib.DEFLATED, 31)
+    data = stream.compress(b"".join(records[:kept])) + stream.flush(zlib.Z_SYNC_FLUSH)
+    (tmp_path / "cut.warc.gz").write_bytes(data)
+    with pytest.raises(ValueError, match="cut off"):
+        W._rewrite(str(tmp_path / "cut.warc.gz"), str(tmp_path), "new.warc.gz")
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(records[0]) + data)
+    with pytest.raises(ValueError, match="cut off"):
+        W._rewrite(str(tmp_path / "cut.warc.gz"), str(tmp_path), "new.warc.gz")
+    assert not (tmp_path / "new.warc.gz").exists()
+
+
+def test_archives_are_read_in_several_tasks(spark):
+    index = W.normalise(W.write_archives(frame(spark).repartition(3), archive_bytes=1))
+    found = W.read_records(index).selectExpr("*", "spark_partition_id() AS task").collect()
+    assert len({r["task"] for r in found}) > 1
+
+
 def test_empty_table(spark):
     assert W.read_records(W.normalise(W.write_archives(frame(spark).limit(0)))).count() == 0
     assert table(spark, SF_SMALL, "pages").count() > 0 and cases is not None

@@ -142,16 +142,19 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = AR
 
 
 def _inflated(uri: str):
-    """The bytes of a gzip file, piece by piece, over all its members."""
+    """The bytes of a gzip file, piece by piece, over all its members; an error if the last one isn't whole."""
     system, path = opened(uri)
     with system.open_input_stream(path, compression=None) as source:
-        gzip = zlib.decompressobj(31)
+        gzip, begun = zlib.decompressobj(31), False
         while piece := source.read(PIECE):
             while piece:
                 yield gzip.decompress(piece)
+                begun = not gzip.eof
                 piece = gzip.unused_data if gzip.eof else b""
                 if gzip.eof:
                     gzip = zlib.decompressobj(31)
+        if begun:
+            raise ValueError(f"{uri}: the gzip stream is cut off")
 
 
 def _rewrite(uri: str, folder: str, name: str) -> tuple[str, list[tuple[int, int, str, str]]]:
@@ -241,7 +244,9 @@ def _read(batches):
 
 def read_records(index: DataFrame) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of an index's records."""
-    return index.repartition("archive").sortWithinPartitions("archive", "offset").select("archive", "offset", "length").mapInArrow(
+    # a number of its own, so that the few bytes of the index aren't merged into one task that reads all archives
+    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return index.repartition(n, "archive").sortWithinPartitions("archive", "offset").select("archive", "offset", "length").mapInArrow(
         _read, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
                "refers_to bigint, payload string")
 
