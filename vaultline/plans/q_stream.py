@@ -13,6 +13,7 @@ from ..session import fresh_dir
 from ..sinks.store import VaultStore
 from ..sources.cdc import read_cdc_batch
 from ..sources.snapshot import ChunkedSnapshot, at_offset, chunk_bounds, merged_rows
+from ..streaming.late_parents import follow, missing_parents
 from ..streaming.loader import load_batch, load_sources, run_available
 from . import feeds
 from . import marketplace as M
@@ -272,6 +273,47 @@ def q_hash_key_lookup(spark, sf_dir):
     return store.find("sat_users", [*keys, "f" * 32]).select("hk_users", "status", "load_dt")
 
 
+#: Clicks stand for parents, purchases for children; a parent within twelve hours is in time.
+@register("late_parents", f"""
+SELECT user_id AS user_external_id, event_id, {TS_MS} AS happened FROM events p WHERE event_type = 'purchase' AND NOT EXISTS (
+  SELECT 1 FROM events c WHERE c.event_type = 'click' AND c.user_id = p.user_id
+  AND abs(epoch_ms(c.ts) - epoch_ms(p.ts)) <= 12 * 3600 * 1000)""")
+def q_late_parents(spark, sf_dir):
+    """Two streams in three deliveries, the second with parents before their children and the third after: children
+    without a parent in time are reported, each once, over two restarts."""
+    root = fresh_dir(spark, "late-parents")
+    folder = {kind: fresh_dir(spark, kind) for kind in ("click", "purchase")}
+    ev = M.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("user_external_id"), "event_id", "event_type",
+        F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp"))).alias("happened"))
+    cuts = [F.lit(d).cast("timestamp") for d in ("2024-01-12", "2024-01-20")]
+    parts = [ev.where(F.col("happened") < cuts[0]), ev.where((F.col("happened") >= cuts[0]) & (F.col("happened") < cuts[1])),
+             ev.where(F.col("happened") >= cuts[1])]
+    end = ev.agg(F.max("happened")).first()[0]
+
+    def stream(kind: str) -> DataFrame:
+        return spark.readStream.schema("user_external_id bigint, event_id bigint, happened timestamp").json(folder[kind])
+
+    def deliver(part: DataFrame, kind: str) -> None:
+        part.where(F.col("event_type") == kind).select("user_external_id", "event_id", "happened").write.mode("append").json(folder[kind])
+
+    def run() -> None:
+        report = missing_parents(stream("purchase"), stream("click"), "user_external_id", "happened", "12 HOURS", "30 days")
+        follow(report, f"{root}/report", f"{root}/_checkpoint").awaitTermination()
+    for i, part in enumerate(parts):
+        for kind in ("click", "purchase") if i % 2 else ("purchase", "click"):
+            deliver(part, kind)
+            run()
+    if end is not None:  # both streams go on much later: nothing that was waited for can come any more
+        later = spark.range(1).select(F.lit(-1).cast("bigint").alias("user_external_id"), F.lit(-1).cast("bigint").alias("event_id"),
+                                      (F.lit(end) + F.expr("INTERVAL 90 days")).alias("happened"))
+        for kind in ("click", "purchase"):
+            deliver(later.withColumn("event_type", F.lit(kind)), kind)
+        run()
+    out = spark.read.schema("user_external_id bigint, event_id bigint, happened timestamp").parquet(f"{root}/report")
+    return out.where("event_id >= 0").withColumn("happened", F.col("happened").cast("timestamp_ntz"))
+
+
 @register("batch_metrics", """
 SELECT k AS vault_table, n AS rows FROM (
   SELECT 'events:users' AS k, COUNT(*) AS n FROM events
