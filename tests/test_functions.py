@@ -1,5 +1,7 @@
 """Column functions against Python references: exact rounding, calendar, wire conversions."""
 
+import pytest
+
 import datetime as dt
 import random
 from decimal import ROUND_HALF_UP, Decimal
@@ -62,3 +64,15 @@ def test_period_num_is_age_months_modulo_12(spark):
     df = spark.createDataFrame(pairs, "c timestamp_ntz, a timestamp_ntz")
     assert [r[0] for r in df.select(period_num("a", "c")).collect()] == [0, 1, 0, 2, -2]
     assert df.select(from_epoch_days(F.lit(10 ** 9))).first()[0] is None
+
+
+def test_declared_types(spark):
+    """A decimal keeps the precision that the model gives it; types that the map doesn't know are refused."""
+    from vaultline.functions import coerce as K
+    assert K.vault_type("decimal") == "decimal(18,2)" and K.vault_type("Decimal(9, 6)") == "decimal(9,6)"
+    assert K.sql_type("DECIMAL(9,6)") == "DECIMAL(9,6)" and K.vault_type("inet") == "string"
+    for unknown in ("point", "decimal(9)", "varchar2", ""):
+        with pytest.raises(ValueError, match="unknown source type"):
+            K.sql_type(unknown)
+    got = spark.createDataFrame([("55.755811",), ("x",)], "v string").select(K.coerce_typed("v", "decimal(9,6)").alias("v")).collect()
+    assert [str(r["v"]) for r in got] == ["55.755811", "None"]

@@ -9,6 +9,8 @@ columns named like dates are days), kept for parity checks only.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,12 +61,19 @@ def _c(c) -> Column:
 
 
 def sql_type(declared: str) -> str:
-    return VAULT_SQL_TYPE.get(declared.lower(), "VARCHAR(500)")
+    """The vault type of a declared source type; ``decimal(p,s)`` keeps its precision, an unknown type is refused."""
+    t = declared.lower().replace(" ", "")
+    if re.fullmatch(r"decimal\(\d{1,2},\d{1,2}\)", t):
+        return t.upper()
+    if t not in VAULT_SQL_TYPE:
+        raise ValueError(f"unknown source type {declared!r}")
+    return VAULT_SQL_TYPE[t]
 
 
 def vault_type(declared: str) -> str:
     """Spark type name of the vault column for a declared source type."""
-    return _SPARK_TYPE[sql_type(declared)]
+    t = sql_type(declared)
+    return t.lower() if t.startswith("DECIMAL") else _SPARK_TYPE[t]
 
 
 def wire_type(declared: str) -> str:
