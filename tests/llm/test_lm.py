@@ -1,9 +1,11 @@
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from vaultline.llm import lm as L
 from vaultline.llm.common import table
@@ -87,3 +89,12 @@ def test_small_flushes_and_large_counts(spark, monkeypatch):
 def test_held_out_texts_are_predicted_better_than_by_words_alone(spark):
     r = L.op1_kneser_ney(spark, "/root/testdata/sf0.01").where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert r["sum(score)"] > r["sum(base_score)"]
+
+
+def test_a_lost_shard_is_an_error(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    facts = L.train(docs.select(docs.text.alias("_t")))
+    folder = facts["folder"].removeprefix("file:")
+    os.remove(os.path.join(folder, sorted(x for x in os.listdir(folder) if x.startswith("pairs-"))[0]))
+    with pytest.raises(Exception, match="FileNotFoundError|No such file"):
+        L.score(docs, ["doc_id"], facts).collect()

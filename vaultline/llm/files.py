@@ -27,6 +27,12 @@ def put(folder: str, name: str, *parts) -> str:
     return f"{folder}/{name}"
 
 
+def names(folder: str) -> list[str]:
+    """The files in a folder that have their final names."""
+    system, path = opened(folder)
+    return [f.base_name for f in system.get_file_info(fs.FileSelector(path)) if not f.base_name.startswith(".")]
+
+
 def mapped(uri: str) -> np.ndarray:
     """A file's bytes, memory-mapped: in place if the folder is a mounted one, else from a copy that has no name and so
     goes with the process."""

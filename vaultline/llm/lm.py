@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ..session import fresh_dir
 from .common import id_mod, small_batches, table, text_of
-from .files import mapped, put
+from .files import mapped, names, put
 from .textarrays import NOT_SPACE, U64, blocks, mix
 
 BEGIN, END = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)
@@ -186,7 +186,9 @@ def train(rows: DataFrame, name: str = "lm") -> dict:
     totals = words.repartitionById(side * side, "shard").mapInArrow(_merge_words(folder), "totals array<bigint>")
     sums = totals.agg(*[F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(13)]).first()
     t = [int(x or 0) for x in sums]
-    return {"folder": folder, "side": side, "V": t[0], "N": t[1], "types": t[2],
+    written = set(names(folder))
+    there = {kind: np.packbits([f"{kind}-{k:06d}" in written for k in range(side * side)]) for kind in ("words", "pairs")}
+    return {"folder": folder, "there": there, "side": side, "V": t[0], "N": t[1], "types": t[2],
             "types_nn": t[3:8], "pairs_nn": t[8:13]}
 
 
@@ -204,9 +206,10 @@ class Model:
 
     def part(self, name: str):
         if name not in self.parts:
-            try:
-                raw = mapped(f"{self.facts['folder']}/{name}")
-            except FileNotFoundError:  # no word fell there
+            kind, shard = name.split("-")
+            if np.unpackbits(self.facts["there"][kind])[int(shard)]:
+                raw = mapped(f"{self.facts['folder']}/{name}")  # a lost shard is an error
+            else:  # no word fell there
                 raw = np.zeros(16, np.uint8)
             if name.startswith("words"):
                 n = int(raw[:8].view(np.int64)[0])
