@@ -57,3 +57,15 @@ def test_mix_has_a_row_for_every_pass(spark):
     plan = M.sample(docs, ["doc_id"]).agg({"taken": "sum"}).first()[0]
     assert got.agg({"take_words": "sum"}).first()[0] == plan
     assert M.mix(cases.no_documents(spark)).count() == 0 and M.sample(cases.no_documents(spark), ["doc_id"]).count() == 0
+
+
+def test_reruns_agree_whatever_the_order_of_the_rows(spark):
+    """Rows without an id, of equal size and quality, and several texts under one id: their texts decide."""
+    rows = [(None, f"wor{c} lett{c}", "s") for c in "abcdefgh"] + [(7, f"tw{c} thre{c}", "s") for c in "klmn"]
+    got = []
+    for k in (0, 3, 7):
+        docs = spark.createDataFrame(rows[k:] + rows[:k], "doc_id long, text string, source string").repartition(1 + k)
+        out = M.sample(docs, ["doc_id", "text", "source"], factor=0.55, cap=1)
+        got.append(sorted((r["_doc"]["text"], r["taken"]) for r in out.collect()))
+    assert got[0] == got[1] == got[2] and sum(n for _, n in got[0]) == 13
+    assert 0 < sum(n > 0 for t, n in got[0] if t.startswith("wor")) < 8

@@ -6,14 +6,14 @@ gets more than ``cap`` times its own words; what is above is shared again by wei
 
 A source with target T and S words takes floor(T / S) complete epochs, then a sample without replacement for the
 rest: every document draws an exponential key with its quality as the rate, ``-ln(u) / quality``, u from a hash of
-its id; in key order documents are taken until the rest is full, the last one for the words still missing.
+its id and text; in key order documents are taken until the rest is full, the last one for the words still missing.
 
 The order is never sorted as a whole.  Keys fall into ``BUCKETS`` ranges; word sums by source and range (small,
 combined before the shuffle) show which ranges are in, which are out, and the one that holds the border; only that
 range's rows are sorted.  So a source with a third of all rows needs no task of its own.
 
 Defined cases: null = empty text = size 0, taken 0; a source without words has target 0; null is a source of its own;
-equal rows draw equal keys and are taken one after the other; extra columns pass through; an empty table gives an
+rows equal in id and text draw equal keys and are taken one after the other, other rows of one id draw their own; extra columns pass through; an empty table gives an
 empty result.
 """
 
@@ -69,13 +69,12 @@ def targets(sizes: DataFrame, factor: float = 1.5, cap: int = 2) -> DataFrame:
 def sample(docs: DataFrame, carry: list[str], seed: int = 0, factor: float = 1.5, cap: int = 2) -> DataFrame:
     """Per row: ``_doc`` (its ``carry`` columns), ``_key`` (its id and text), size, source_size, target, taken."""
     text = text_of("text")
-    identity = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rate = quality(text)
     rows = docs.select(
-        F.struct(*carry).alias("_doc"), row_key(docs).alias("_key"), identity.alias("i"),
+        F.struct(*carry).alias("_doc"), row_key(docs).alias("_key"), quality(text).alias("rate"),
         F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source"))).alias("s"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        (-F.log(uniform(identity, seed)) / rate).alias("k"))
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"))
+    # from the key's column, or the text would be hashed twice
+    rows = rows.withColumn("k", -F.log(uniform(F.col("_key"), seed)) / F.col("rate")).drop("rate")
     # any rising function of the key serves; this one spreads keys of rate 1 evenly
     rows = saved(rows.withColumn("b", F.floor((1 - F.exp(-F.col("k"))) * BUCKETS).cast("int")), "mix-rows")
     goal = saved(targets(rows, factor, cap), "mix-targets")
@@ -87,7 +86,7 @@ def sample(docs: DataFrame, carry: list[str], seed: int = 0, factor: float = 1.5
         .withColumn("rest", F.round("target").cast("long") - F.col("epochs") * F.col("source_size"))
     joined = saved(rows.join(saved(plan, "mix-plan"), ["s", "b"]), "mix-joined")
     border = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("here") > F.col("rest"))
-    in_order = Window.partitionBy("s").orderBy("k", "i", "size").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("s").orderBy("k", "_key").rowsBetween(Window.unboundedPreceding, -1)
     edge = joined.where(border).withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(in_order), F.lit(0)))
     part = F.least(F.greatest(F.col("rest") - F.col("before"), F.lit(0)), F.col("size"))
     # outside the border range a document is in as a whole or not at all
@@ -121,7 +120,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The level in one statement: sources by the level at which they are full; the last that is not full sets it.
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS i, source, coalesce(text, '') AS t,
+  SELECT doc_id, md5(md5(coalesce(text, '')) || ':' || coalesce(doc_id::VARCHAR, 'null')) AS i, source, coalesce(text, '') AS t,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 k AS (
   SELECT doc_id, i, source, size,
@@ -146,7 +145,7 @@ e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM g),
 r AS (
   SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, round(e.target)::BIGINT - e.epochs * e.source_size AS rest,
-         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.k, k.i, k.size
+         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.k, k.i
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target,
