@@ -1,5 +1,7 @@
 import json
 import random
+import re
+import time
 
 from tools.check_oracle import duck, rows_of
 from vaultline.llm import toollink as L
@@ -127,3 +129,22 @@ def test_edges(spark):
     assert len(got) == 6 and [r["status"] for r in got if r["kind"] != "text"] == ["answered", "answered", "linked"]
     assert linked(spark, rows[:1])[0]["json"] == '{"content":"","role":null,"type":"message"}'
     assert L.link(spark.createDataFrame([], "conv_id long, turn long, role string, text string"), TOOLS).count() == 0
+
+
+def test_blocks_equal_the_pattern():
+    """A scan that goes forward finds what the plain (quadratic) pattern finds."""
+    pattern = re.compile(r"<(tool_call|tool_response)>(.*?)</\1>", re.S)
+    rng = random.Random(2)
+    bits = ["<tool_call>", "</tool_call>", "<tool_response>", "</tool_response>", "x", "<tool_", " "]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))
+        assert L.blocks_of(text) == (pattern.sub("", text), pattern.findall(text))
+
+
+def test_unclosed_openings_take_linear_time(spark):
+    text = "<tool_call>" * 100000 + "<tool_response>" * 100000
+    start = time.time()
+    assert L.blocks_of(text) == (text, [])
+    assert L.blocks_of(text + "</tool_response>")[1][0][0] == "tool_response"
+    assert time.time() - start < 10
+    assert [r["kind"] for r in linked(spark, [(1, 0, "user", text, None, 0)])] == ["text"]

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import saved, small_batches, table, text_of
 
-BLOCK = re.compile(r"<(tool_call|tool_response)>(.*?)</\1>", re.S)
+OPENING = re.compile(r"<(tool_call|tool_response)>")
 SCHEMA = ("conv_id bigint, turn bigint, part int, kind string, call_id string, name string, errors array<string>, "
           "after array<string>, json string")
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
@@ -105,13 +105,33 @@ def _entry(kind: str, body: str, tools: dict) -> tuple:
         return "malformed", None, None, ["malformed"], [], canonical({"type": "malformed", "content": body})
 
 
+def blocks_of(text: str) -> tuple[str, list[tuple[str, str]]]:
+    """(the text without its blocks, the blocks' kinds and bodies): a block reaches from its opening to the next closing
+    of its kind, and an opening that none follows is text.  Each scan goes on where the last one ended."""
+    left, found, at, never = [], [], 0, set()
+    seek = 0
+    while (m := OPENING.search(text, seek)) is not None:
+        kind = m[1]
+        end = -1 if kind in never else text.find(f"</{kind}>", m.end())
+        if end < 0:
+            never.add(kind)
+            if len(never) == 2:
+                break
+            seek = m.end()
+            continue
+        left.append(text[at:m.start()])
+        found.append((kind, text[m.end():end]))
+        at = seek = end + len(kind) + 3
+    left.append(text[at:])
+    return "".join(left), found
+
+
 def _parts(tools: dict):
     def run(batches):
         for batch in batches:
             out = []
             for conv, turn, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text"))):
-                left = BLOCK.sub("", text) if "<tool_" in text else text
-                found = BLOCK.findall(text) if "<tool_" in text else []
+                left, found = blocks_of(text) if "<tool_" in text else (text, [])
                 if left.strip() or not found:
                     out.append((conv, turn, 0, "text", None, None, [], [],
                                 canonical({"type": "message", "role": role, "content": left})))
@@ -238,18 +258,36 @@ TOOLS = {"answer": {"type": "object", "required": ["question", "turn"], "additio
     "question": {"type": "string"}, "turn": {"type": "integer", "minimum": 0}}}}
 
 
+def _block(name: Column, after: list[Column], arguments: Column) -> Column:
+    needs = F.array_join(F.array(*[F.concat(F.lit('"'), x, F.lit('"')) for x in after]), ",") if after else F.lit("")
+    return F.concat(F.lit('<tool_call>{"id":"'), name, F.lit('","name":"answer","after":['), needs, F.lit('],"arguments":'), arguments,
+                    F.lit("}</tool_call>"))
+
+
 def with_tool_traffic(conversations: DataFrame) -> DataFrame:
     """The conversations' messages (turn t at 3 t) and, as they have no tool traffic of their own, a call for every user
-    message (3 t + 1, after the call two turns before) and a result from every assistant message (3 t - 1)."""
+    message (3 t + 1, after the call two turns before) and a result from every assistant message (3 t - 1).
+
+    By (conv_id + t) modulo 4, a call's message holds further blocks: 1, a chain of two calls behind it at the same turn;
+    2, two calls that need each other and one that needs the first of them; 3, the call's id again, a broken block, and a
+    call that needs the next user message's call and whose arguments violate the schema.
+    """
     base = conversations.select("conv_id", (F.col("turn") * 3).alias("turn"), "role", "text")
-    name = lambda t: F.concat(F.lit("c"), t.cast("string"))
     t = F.col("turn")
+    name = lambda t, kind="c": F.concat(F.lit(kind), t.cast("string"))
     body = F.to_json(F.struct(
         name(t).alias("id"), F.lit("answer").alias("name"),
         F.when(t >= 2, F.array(name(t - 2))).otherwise(F.array().cast("array<string>")).alias("after"),
         F.struct(text_of("text").alias("question"), t.alias("turn")).alias("arguments")))
-    calls = conversations.where("role = 'user'").select("conv_id", (t * 3 + 1).alias("turn"), F.lit("assistant").alias("role"),
-                                                        F.concat(F.lit("<tool_call>"), body, F.lit("</tool_call>")).alias("text"))
+    plain = F.concat(F.lit('{"question":"","turn":'), t.cast("string"), F.lit("}"))
+    c, d, e, f = (name(t, kind) for kind in "cdef")
+    more = F.when((F.col("conv_id") + t) % 4 == 1, F.concat(_block(d, [c], plain), _block(e, [d], plain))) \
+        .when((F.col("conv_id") + t) % 4 == 2, F.concat(_block(d, [e], plain), _block(e, [d], plain), _block(f, [d], plain))) \
+        .when((F.col("conv_id") + t) % 4 == 3, F.concat(_block(c, [], plain), F.lit('<tool_call>{"id":</tool_call>'),
+                                                        _block(d, [name(t + 2)], F.lit('{"question":5,"turn":-1}')))).otherwise("")
+    calls = conversations.where("role = 'user'").select(
+        "conv_id", (t * 3 + 1).alias("turn"), F.lit("assistant").alias("role"),
+        F.concat(F.lit("<tool_call>"), body, F.lit("</tool_call>"), F.coalesce(more, F.lit(""))).alias("text"))
     answer = F.to_json(F.struct(name(t - 1).alias("id"), text_of("text").alias("content")))
     results = conversations.where("role = 'assistant'").select(
         "conv_id", (t * 3 - 1).alias("turn"), F.lit("tool").alias("role"),
@@ -285,4 +323,26 @@ SELECT m.conv_id, 3 * m.turn - 1, 1, 'result', 'c' || (m.turn - 1), CASE WHEN k.
        3 * m.turn - 1, CASE WHEN k.turn IS NULL THEN 0 ELSE 1 END,
        '{"content":' || to_json(m.text)::VARCHAR || ',"tool_call_id":"c' || (m.turn - 1) || '","type":"tool_result"}'
 FROM m LEFT JOIN k ON k.conv_id = m.conv_id AND k.turn = m.turn - 1 WHERE m.role = 'assistant'
+UNION ALL
+SELECT conv_id, 3 * turn + 1, part, kind, call_id, status, errors = '', errors, ready, level,
+       CASE WHEN kind = 'malformed' THEN '{"content":"{\"id\":","type":"malformed"}'
+            ELSE '{"arguments":' || CASE WHEN call_id[1] = 'd' AND v = 3 THEN '{"question":5,"turn":-1}' ELSE '{"question":"","turn":' || turn || '}' END
+                 || ',"id":"' || call_id || '","name":"answer","type":"tool_call"}' END
+FROM (
+  SELECT x.*, (x.conv_id + x.turn) % 4 AS v, n.turn IS NOT NULL AS goes_on, n.answered AS heard FROM k x
+  LEFT JOIN k n ON n.conv_id = x.conv_id AND n.turn = x.turn + 2) q,
+LATERAL (
+  SELECT * FROM (VALUES
+    (1, 2, 'call', 'd' || turn, 'unanswered', '', 3 * turn + 1 + answered::INT, 1 + answered::INT),
+    (1, 3, 'call', 'e' || turn, 'unanswered', '', 3 * turn + 1 + answered::INT, 2 + answered::INT),
+    (2, 2, 'call', 'd' || turn, 'cyclic', '', 3 * turn + 1, 0),
+    (2, 3, 'call', 'e' || turn, 'cyclic', '', 3 * turn + 1, 0),
+    (2, 4, 'call', 'f' || turn, 'cyclic', '', 3 * turn + 1, 0),
+    (3, 2, 'call', 'c' || turn, 'duplicate', '', 3 * turn + 1, 0),
+    (3, 3, 'malformed', NULL, 'malformed', 'malformed', 3 * turn + 1, 0),
+    (3, 4, 'call', 'd' || turn, 'unanswered',
+     '$.question: not string; $.turn: below minimum' || CASE WHEN goes_on THEN '' ELSE '; after unknown c' || (turn + 2) END,
+     CASE WHEN NOT goes_on THEN 3 * turn + 1 WHEN heard THEN 3 * turn + 8 ELSE 3 * turn + 7 END,
+     CASE WHEN NOT goes_on THEN 0 WHEN heard THEN 2 ELSE 1 END)) AS y(w, part, kind, call_id, status, errors, ready, level)
+  WHERE w = v) z
 """
