@@ -213,6 +213,14 @@ def test_quarantine_written(spark, model):
     assert q == {2: "malformed_json", 3: "missing_business_key"}
 
 
+def test_vault_tables_are_compressed_with_zstd(spark, model):
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-zstd')}/vault", model)
+    load_sources({"users": feeds.users_decoded(spark, SF_SMALL)}, 0, model, store)
+    for table in ("hub_users", "sat_users"):
+        files = store.read(table).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files), files
+
+
 def test_bucketed_lookup_prunes_buckets(spark, model):
     """A hub lookup by hash key on the bucketed copy reads one bucket."""
     root = fresh_dir(spark, "t-bucket")
