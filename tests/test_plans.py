@@ -38,6 +38,21 @@ def test_keyed_view_is_partial_then_final(spark):
     assert "Window" not in plan
 
 
+def test_events_are_reduced_before_they_are_hashed(spark):
+    """Hubs and links go through the exchange by their business keys, not as hash text."""
+    src = feeds.model().source("order_items")
+    good = feeds.order_items_decoded(spark, SF_SMALL)
+    plan = plan_of(V.load_topic(good, feeds.model(), src)["lnk_order_items"])
+    above, below = plan.split("Exchange hashpartitioning")
+    assert "md5(" in above and "md5(" not in below and "partial_max" in below, plan
+
+
+def test_orphan_check_shuffles_link_keys_only(spark):
+    from vaultline.plans.q_quality import q_vault_orphan_check
+    plan = plan_of(q_vault_orphan_check(spark, SF_SMALL))
+    assert "LeftAnti" in plan and "max(" not in plan, plan  # no rows are carried along to count keys
+
+
 def test_orphans_aggregate_child_keys_before_the_anti_join(spark):
     o, c = table(spark, SF_SMALL, "orders"), table(spark, SF_SMALL, "customer")
     plan = plan_of(Q.orphans(o, c, "o_custkey", "c_custkey"))

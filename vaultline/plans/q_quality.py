@@ -127,7 +127,7 @@ def q_reconcile_counts(spark, sf_dir):
     ev = M.table(spark, sf_dir, "events")
     keyed = lambda d: d.select(F.md5(F.col("user_id").cast("string")).alias("hk_users"), F.col("ts").alias("load_dt"))
     ev_src, all_src = keyed(ev.where(F.col("event_type") != "error")), keyed(ev)
-    changed = V.keyed_view(V.hub_rows(_good(feeds.user_changes_decoded(spark, sf_dir), "users"), model.source("users")), "hk_users")
+    changed = V.last_rows(_good(feeds.user_changes_decoded(spark, sf_dir), "users"), model.source("users"), model.target("hub_users"))
     return Q.union_all([
         Q.reconcile("orders -> hub_orders", o_src, o_hub.select("hk_orders")),
         Q.reconcile("customer -> hub_users", u_src, u_hub.select("hk_users")),
@@ -311,14 +311,12 @@ def q_vault_orphan_check(spark, sf_dir):
     hub_wh = V.hub_rows(_good(feeds.warehouses_decoded(spark, sf_dir), "warehouses"), model.source("warehouses"))
     hist = V.history_rows(_good(feeds.status_history_decoded(spark, sf_dir), "user_status_history"),
                           model.source("user_status_history"), model.target("sat_user_status_history"))
-    lnk_ou = V.keyed_view(V.link_rows(_good(feeds.orders_decoded(spark, sf_dir), "orders"), model.source("orders"),
-                                      model.target("lnk_orders_users")), "hk_lnk_orders_users")
-    lnk_oi = V.keyed_view(V.link_rows(_good(feeds.order_items_decoded(spark, sf_dir), "order_items"),
-                                      model.source("order_items"), model.target("lnk_order_items")),
-                          "hk_lnk_order_items")
-    lnk_sw = V.keyed_view(V.link_rows(_good(feeds.shipments_decoded(spark, sf_dir), "shipments"),
-                                      model.source("shipments"), model.target("lnk_shipments_warehouses")),
-                          "hk_lnk_shipments_warehouses")
+    lnk_ou = V.last_rows(_good(feeds.orders_decoded(spark, sf_dir), "orders"), model.source("orders"),
+                         model.target("lnk_orders_users"))
+    lnk_oi = V.last_rows(_good(feeds.order_items_decoded(spark, sf_dir), "order_items"), model.source("order_items"),
+                         model.target("lnk_order_items"))
+    lnk_sw = V.last_rows(_good(feeds.shipments_decoded(spark, sf_dir), "shipments"), model.source("shipments"),
+                         model.target("lnk_shipments_warehouses"))
     return Q.union_all([
         Q.orphan_summary("sat_user_status_history -> hub_users", hist, hub_users, "hk_users"),
         Q.orphan_summary("lnk_orders_users -> hub_users", lnk_ou, hub_users, "hk_users"),
