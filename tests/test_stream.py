@@ -175,6 +175,31 @@ def test_offsets_are_loaded_once(spark, model, seed):
     assert covered == seen
 
 
+def test_runs_across_words_and_chunks(spark):
+    ids = [*range(60, 70), *range(4000, 4200), 63, 4095, 4096, 8191, *range(127, 400, 2), *range(12288, 16384)]
+    df = spark.createDataFrame([("t", p, o) for p in (0, 1) for o in ids + ids[:50]], "topic string, partition int, offset long")
+    want, numbers = [], sorted(set(ids))
+    for o in numbers:
+        if o % 4096 and want and want[-1][1] == o - 1:
+            want[-1][1] = o
+        else:
+            want.append([o, o])
+    for p in (0, 1):
+        got = offset_runs(df).where(F.col("partition") == p).orderBy("lo").collect()
+        assert [(r["chunk"], r["lo"], r["hi"]) for r in got] == [(lo // 4096, lo, hi) for lo, hi in want]
+
+
+def test_an_event_meets_one_row_of_loaded_offsets(spark, model):
+    """Every second offset is loaded: an event is looked up in its word, not compared with the runs of its chunk."""
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-meets')}/vault", model)
+    all_ = spark.range(8192).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    store.write_offsets(offset_runs(all_.where("offset % 2 = 0")), "f", "load", 0)
+    fresh = store.unseen(all_, offset_runs(all_), "f", "load", 1)
+    assert sorted(r["offset"] for r in fresh.collect()) == list(range(1, 8192, 2))
+    join = [x for x in fresh._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LeftAnti" in x]
+    assert len(join) == 1 and "lo#" not in join[0] and "hi#" not in join[0], join
+
+
 def test_redelivery_is_counted(spark, model):
     store = VaultStore(spark, f"{fresh_dir(spark, 't-again')}/vault", model)
     rows = [(f"u{i}", i, "2024-01-01 00:00:00", "a") for i in range(10)]
