@@ -1,9 +1,13 @@
 """Stream = batch: the same events in one or several deliveries, with a restart,
 a replayed batch in between, give the same vault tables."""
 
+import os
 import random
+import threading
+import time
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +18,7 @@ from vaultline.plans import feeds
 from vaultline.session import fresh_dir
 from vaultline.sinks.store import VaultStore, offset_runs
 from vaultline.sources.cdc import read_cdc_batch
+from vaultline.streaming import loader
 from vaultline.streaming.loader import load_batch, load_sources, run_available
 
 TABLES = ["hub_users", "sat_users", "hub_orders", "lnk_orders_users", "sat_orders", "sat_user_status_history"]
@@ -336,6 +341,78 @@ def test_bulk_load_matches_model_driven_counts(spark, model):
     assert all(metrics[t] == want[t] for t in want)
 
 
+def _orders_loaded(spark, model, name, **kw):
+    store = VaultStore(spark, f"{fresh_dir(spark, name)}/vault", model)
+    metrics = load_sources({n: feeds.DECODED_FEEDS[n](spark, SF_SMALL) for n in ("orders", "shipments", "order_status_history")},
+                           0, model, store, **kw)
+    return metrics, {t: sorted(map(str, store.read(t).collect())) for t in metrics if t in model.targets}
+
+
+def test_model_driven_load_caches_nothing(spark, monkeypatch):
+    """Its feeds read files: a cached copy of them would take memory and disk in proportion to the largest table."""
+    import __spark_entry__ as E
+    kept, frame = [], type(spark.range(1))
+    real = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: kept.append(self.columns) or real(self, *a))
+    assert len(E.queries()["model_driven_load"](spark, SF_SMALL).collect()) == 26
+    assert kept == []
+
+
+def test_a_source_read_again_gives_the_same_rows(spark, model):
+    assert _orders_loaded(spark, model, "t-reread", reread=True) == _orders_loaded(spark, model, "t-cached")
+
+
+def test_large_sources_write_keyed_tables_in_turn(spark, model, monkeypatch):
+    """The shuffles of all tables of large sources would be on disk together."""
+    want = _orders_loaded(spark, model, "t-together", reread=True)
+    running, most, lock, real = set(), [], threading.Lock(), VaultStore.write_batch
+
+    def write_batch(self, df, table, *a):
+        with lock:
+            running.add(table)
+            most.append({t for t in running if t != "_quarantine" and model.target(t).unique_key})
+        try:
+            return real(self, df, table, *a)
+        finally:
+            with lock:
+                running.discard(table)
+    monkeypatch.setattr(VaultStore, "write_batch", write_batch)
+    monkeypatch.setattr(loader, "LARGE_SOURCE", 0)
+    assert _orders_loaded(spark, model, "t-turns", reread=True) == want
+    assert max(map(len, most)) == 1
+
+
+def test_a_load_leaves_no_shuffle_files(spark, model):
+    """They go when a table is written, not when the driver happens to collect its garbage; the setting is as before."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for d in env.localDirsString() for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    before, was = shuffled(), spark.conf.get(key)
+    kept = [feeds.orders_decoded(spark, SF_SMALL)]
+    load_sources({"orders": kept[0]}, 0, model, VaultStore(spark, f"{fresh_dir(spark, 't-shuffles')}/vault", model))
+    for _ in range(50):  # files are removed in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(key) == was
+
+
+def test_stored_hashes_and_order_take_little_room(spark, model):
+    """Texts' lengths apart from the texts, and the load time of a row once; read back, the order has it."""
+    store = VaultStore(spark, f"{fresh_dir(spark, 't-room')}/vault", model)
+    load_sources({"users": feeds.users_decoded(spark, SF_SMALL)}, 0, model, store)
+    for path in store.read("hub_users").inputFiles():
+        group = pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0)
+        columns = {c.path_in_schema: c for c in map(group.column, range(group.num_columns))}
+        assert "DELTA_BYTE_ARRAY" in columns["hk_users"].encodings, columns["hk_users"].encodings
+        assert "load_dt" in columns and "_order.load_dt" not in columns
+    rows = store.read("hub_users", keep_order=True).collect()
+    assert rows and all(r["_order"]["load_dt"] == r["load_dt"] is not None for r in rows)
+
+
 def test_bounded_micro_batches(spark, model):
     """max_files_per_trigger=1: one micro-batch per delivered file, same vault as one batch."""
     ev = feeds.user_changes_json(spark, SF_SMALL).coalesce(1)
